@@ -49,13 +49,14 @@ def roll_up(measures: DataFrame, links: Sequence[Link], values: Sequence[str]) -
 def count_pairs(pairs: DataFrame, key: str, member: str, alias: str, within: DataFrame | None = None) -> DataFrame:
     """Distinct members per key, with members restricted to those found in ``within``.
 
-    Pairs are made distinct before they are matched, so a member or key with very many rows shrinks inside the
-    map tasks, and the match is a semi-join that cannot multiply rows.
+    The match is a semi-join, which cannot multiply rows; the distinct members it looks into are exchanged by the
+    join key and so cost no shuffle of their own. Its output is already placed by member, so the distinct pairs
+    need no further exchange either, and only partial counts travel to the keys.
     """
-    unique = pairs.select(key, member).where(F.col(member).isNotNull()).distinct()
+    pairs = pairs.select(key, member).where(F.col(member).isNotNull())
     if within is not None:
-        unique = unique.join(within.select(member), member, "left_semi")
-    return unique.groupBy(key).agg(F.count(F.lit(1)).alias(alias))
+        pairs = pairs.join(within.select(member).distinct(), member, "left_semi")
+    return pairs.distinct().groupBy(key).agg(F.count(F.lit(1)).alias(alias))
 
 
 def _collapsed(groups: DataFrame, columns: Sequence[str]) -> DataFrame:

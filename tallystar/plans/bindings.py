@@ -42,6 +42,7 @@ from tallystar.sinks import (
     Warehouse,
     append_new_rows,
     append_table,
+    bucket_count,
     store_bucketed,
     write_csv,
     write_dated,
@@ -88,7 +89,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def distinct_count_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, supplier, lineitem = (table(spark, sf_dir, n) for n in ("nation", "supplier", "lineitem"))
     rich = supplier.where("s_acctbal > 8000").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    sold = lineitem.select("l_suppkey", "l_partkey").distinct().join(rich, "l_suppkey")
+    sold = lineitem.select("l_suppkey", "l_partkey").join(rich, "l_suppkey")
     counts = count_pairs(sold, "s_nationkey", "l_partkey", "part_count")
     counts = counts.withColumnRenamed("s_nationkey", "n_nationkey")
     kept = keep_groups(nation, counts, "n_nationkey", ["n_name"], distinct_counts=["part_count"])
@@ -535,15 +536,15 @@ def dwh_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- warehouse tables ---------------------------------------------------------------------------------------
 
 
-def _warehouse(spark: SparkSession, buckets: int = 8) -> Warehouse:
-    name = f"dshop_{uuid.uuid4().hex}"
+def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    name, buckets = f"dshop_{uuid.uuid4().hex}", bucket_count(table(spark, sf_dir, "lineitem").count())
     return Warehouse(spark, name, fresh_dir(spark, "warehouse"), buckets, id_type="BIGINT")
 
 
 @register("dwh_ddl")
 def dwh_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create the tables twice, load four of them, and report columns and rows of each."""
-    warehouse = _warehouse(spark)
+    warehouse = _warehouse(spark, sf_dir)
     for _ in range(2):
         warehouse.create()
     warehouse.append("clients_dim", _clients(spark, sf_dir))
@@ -563,7 +564,7 @@ def dwh_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dwh_append_new_table")
 def dwh_append_new_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse, clients = _warehouse(spark), _clients(spark, sf_dir)
+    warehouse, clients = _warehouse(spark, sf_dir), _clients(spark, sf_dir)
     warehouse.create()
     warehouse.append("clients_dim", clients.where("location_area_id < 10"))
     for _ in range(2):
@@ -578,10 +579,11 @@ def dwh_bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity", "l_extendedprice"
     )
-    pair, keys = salt_pair(lines, orders, "o_orderkey", parts=200), ["o_orderkey", SALT]
+    buckets = bucket_count(lines.count())
+    pair, keys = salt_pair(lines, orders, "o_orderkey", parts=buckets), ["o_orderkey", SALT]
     root, name = fresh_dir(spark, "bucketed"), uuid.uuid4().hex
-    many = store_bucketed(pair.many, f"lines_{name}", keys, 8, f"{root}/lines")
-    one = store_bucketed(pair.one, f"orders_{name}", keys, 8, f"{root}/orders")
+    many = store_bucketed(pair.many, f"lines_{name}", keys, buckets, f"{root}/lines")
+    one = store_bucketed(pair.one, f"orders_{name}", keys, buckets, f"{root}/orders")
     return many.hint("merge").join(one, keys).drop(SALT)
 
 
@@ -621,7 +623,7 @@ def daily_load_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "daily")
     layout = Layout(f"{root}/bronze", f"{root}/silver", id_type="BIGINT")
     feed = _feed(spark, sf_dir).select("product_id", "date")
-    warehouse = _warehouse(spark)
+    warehouse = _warehouse(spark, sf_dir)
     for _ in range(2):
         run_daily(spark, lambda name: _shop(spark, sf_dir, name), feed, layout, RUN_DATE, warehouse)
     reports = [

@@ -5,12 +5,13 @@ from tallystar.sinks.files import (
     write_run_date,
 )
 from tallystar.sinks.jdbc import append_new_rows, append_table
-from tallystar.sinks.warehouse import Warehouse, store_bucketed
+from tallystar.sinks.warehouse import Warehouse, bucket_count, store_bucketed
 
 __all__ = [
     "Warehouse",
     "append_new_rows",
     "append_table",
+    "bucket_count",
     "store_bucketed",
     "write_csv",
     "write_dated",
