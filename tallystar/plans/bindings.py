@@ -37,7 +37,7 @@ from tallystar.operators.skew import SALT
 from tallystar.plans.daily import Layout, land_database, refine_feed, refine_table, run_daily
 from tallystar.plans.star import date_dimension, extracted_dimension, keyed_fact
 from tallystar.scratch import fresh_dir, stage
-from tallystar.session import configure
+from tallystar.session import configure, is_local
 from tallystar.sinks import (
     Warehouse,
     append_new_rows,
@@ -474,7 +474,7 @@ def _database(spark: SparkSession) -> Database:
         names = {"user", "password", "driver"}
         given = {n: spark.conf.get(f"spark.tallystar.jdbc.{n}", None) for n in names}
         return Database(url, {n: v for n, v in given.items() if v})
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise RuntimeError("set spark.tallystar.jdbc.url to a database that all executors can reach")
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
     name = f"tallystar{uuid.uuid4().hex}"
@@ -487,17 +487,17 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _database(spark)
     orders = table(spark, sf_dir, "orders")
     append_table(orders, database, "orders", "o_orderstatus VARCHAR(1), o_orderpriority VARCHAR(30)")
-    return read_table(spark, database, "orders", partition_column="o_orderkey", num_partitions=4)
+    return read_table(spark, database, "orders", partition_column="o_orderkey", single_task_rows=0)
 
 
 @register("jdbc_list_tables")
 def jdbc_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List every table of a database, export each and count what was exported."""
     database = _database(spark)
-    texts = {"region": "r_name", "nation": "n_name", "supplier": "s_name", "customer": "c_name"}
-    for name, text in texts.items():
-        columns = [c for c in table(spark, sf_dir, name).columns if c != "c_mktsegment"]
-        append_table(table(spark, sf_dir, name).select(*columns), database, name, f"{text} VARCHAR(60)")
+    for name in ("region", "nation", "supplier", "customer"):
+        df = table(spark, sf_dir, name)
+        texts = [f"{f.name} VARCHAR(60)" for f in df.schema if isinstance(f.dataType, T.StringType)]
+        append_table(df, database, name, ", ".join(texts))
     layout = Layout(fresh_dir(spark, "bronze"), "")
     paths = land_database(spark, database, layout, RUN_DATE)
     listed = list_tables(spark, database)
@@ -509,7 +509,16 @@ def jdbc_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
+    return _as_clients(table(spark, sf_dir, "customer"))
+
+
+def _earlier_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an earlier load brought: customers whose balance is not negative."""
+    return _as_clients(table(spark, sf_dir, "customer").where("c_acctbal >= 0"))
+
+
+def _as_clients(customer: DataFrame) -> DataFrame:
+    return customer.select(
         F.col("c_custkey").alias("client_id"),
         F.col("c_name").alias("fullname"),
         F.col("c_nationkey").alias("location_area_id"),
@@ -527,7 +536,7 @@ def dwh_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dwh_append_new")
 def dwh_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, clients = _database(spark), _clients(spark, sf_dir)
-    append_table(clients.where("location_area_id < 10"), database, "clients_dim", "fullname VARCHAR(30)")
+    append_table(_earlier_clients(spark, sf_dir), database, "clients_dim", "fullname VARCHAR(30)")
     for _ in range(2):
         append_new_rows(clients, database, "clients_dim", ["client_id"], "fullname VARCHAR(30)")
     return read_table(spark, database, "clients_dim")
@@ -566,7 +575,7 @@ def dwh_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dwh_append_new_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse, clients = _warehouse(spark, sf_dir), _clients(spark, sf_dir)
     warehouse.create()
-    warehouse.append("clients_dim", clients.where("location_area_id < 10"))
+    warehouse.append("clients_dim", _earlier_clients(spark, sf_dir))
     for _ in range(2):
         warehouse.append_new("clients_dim", clients)
     return warehouse.read("clients_dim")

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallystar.session import is_local
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
@@ -19,7 +21,7 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local[") and context.master != "local":
+    if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     if context.applicationId not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tallystar-")

@@ -16,6 +16,12 @@ RUNTIME_CONF = {
 }
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether the driver is the only process, so that its files and memory are visible to all tasks."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():

@@ -52,6 +52,21 @@ def test_append_repeats_and_append_new_does_not(spark, warehouse):
     assert warehouse.read("clients_dim").count() == 5
 
 
+def test_append_new_facts_compares_whole_rows_of_the_same_dates(spark, warehouse):
+    schema = "order_id int, product_id int, client_id int, store_id int, quantity int, time_id bigint"
+    first = [(1, 1, 1, 1, None, 20210102), (2, 1, 1, 1, 5, 20210105)]
+    warehouse.append_new("orders_fact", spark.createDataFrame(first, schema))
+    later = [(1, 1, 1, 1, None, 20210102), (1, 1, 1, 1, 4, 20210102), (1, 1, 1, 1, 4, 20210102)]
+    for _ in range(2):
+        warehouse.append_new("orders_fact", spark.createDataFrame(later, schema))
+    assert rows_of(warehouse.read("orders_fact")) == sorted([*first, later[1]], key=repr)
+
+
+def test_append_new_of_nothing(spark, warehouse):
+    warehouse.append_new("out_of_stock_fact", spark.createDataFrame([], "time_id bigint, product_id int"))
+    assert warehouse.read("out_of_stock_fact").count() == 0
+
+
 def test_append_binds_columns_by_name(spark, warehouse):
     swapped = spark.createDataFrame([("a", 5, 1)], "fullname string, location_area_id int, client_id int")
     warehouse.append("clients_dim", swapped)
@@ -76,7 +91,7 @@ def test_database_tables(spark):
     for name, n in (("alpha", 1_000), ("beta", 10)):
         append_table(spark.range(n).selectExpr("id", "CAST(id AS STRING) AS s"), database, name, "s VARCHAR(20)")
     assert rows_of(list_tables(spark, database)) == [("ALPHA",), ("BETA",)]
-    alpha = read_table(spark, database, "alpha", num_partitions=4)
+    alpha = read_table(spark, database, "alpha", num_partitions=4, single_task_rows=100)
     assert alpha.rdd.getNumPartitions() == 4
     assert {tuple(r) for r in alpha.collect()} == {(i, str(i)) for i in range(1_000)}
     pushed = plan_of(alpha.where("id > 990").select("id"))
@@ -93,7 +108,15 @@ def test_partitioned_read_keeps_rows_without_a_value(spark):
     database = _database(spark)
     rows = [(i if i % 5 else None, i) for i in range(200)]
     append_table(spark.createDataFrame(rows, "k int, v int"), database, "gaps")
-    assert rows_of(read_table(spark, database, "gaps", num_partitions=3)) == sorted(rows, key=repr)
+    assert rows_of(read_table(spark, database, "gaps", num_partitions=3, single_task_rows=100)) == sorted(rows, key=repr)
+
+
+def test_large_table_without_a_range_column_is_refused(spark):
+    database = _database(spark)
+    append_table(spark.range(50).selectExpr("CAST(id AS STRING) AS s"), database, "words", "s VARCHAR(20)")
+    assert read_table(spark, database, "words").count() == 50
+    with pytest.raises(ValueError, match="no column"):
+        read_table(spark, database, "words", single_task_rows=49)
 
 
 def test_empty_table_can_be_read(spark):
