@@ -14,16 +14,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystar.operators.skew import salted_join
+
 _COPIES = "_copies"
 
 
 @dataclass(frozen=True)
 class Link:
-    """One step up a join chain: rows found by ``key`` hand their measures to ``parent``."""
+    """One step up a join chain: rows found by ``key`` hand their measures to ``parent``.
+
+    Not ``unique`` is a table in which one key may have very many parents; its hot keys are salted.
+    """
 
     table: DataFrame
     key: str
     parent: str
+    unique: bool = True
 
 
 def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
@@ -38,25 +44,23 @@ def conditional_count(condition: Column) -> Column:
 def roll_up(measures: DataFrame, links: Sequence[Link], values: Sequence[str]) -> DataFrame:
     """Carry summed ``values`` up a chain of inner joins, one partial aggregate per step."""
     for link in links:
-        measures = (
-            measures.join(link.table.select(link.key, link.parent), link.key)
-            .groupBy(link.parent)
-            .agg(*(F.sum(value).alias(value) for value in values))
-        )
+        steps = link.table.select(link.key, link.parent)
+        joined = measures.join(steps, link.key) if link.unique else salted_join(steps, measures, link.key)
+        measures = joined.groupBy(link.parent).agg(*(F.sum(value).alias(value) for value in values))
     return measures
 
 
 def count_pairs(pairs: DataFrame, key: str, member: str, alias: str, within: DataFrame | None = None) -> DataFrame:
     """Distinct members per key, with members restricted to those found in ``within``.
 
-    The match is a semi-join, which cannot multiply rows; the distinct members it looks into are exchanged by the
-    join key and so cost no shuffle of their own. Its output is already placed by member, so the distinct pairs
-    need no further exchange either, and only partial counts travel to the keys.
+    Both sides of the match are made distinct first, so a member with very many rows shrinks inside the map tasks
+    before it meets its own kind in one; the distinct members on the right are exchanged by the join key and cost
+    no shuffle of their own. The match is a semi-join, which cannot multiply rows.
     """
-    pairs = pairs.select(key, member).where(F.col(member).isNotNull())
+    unique = pairs.select(key, member).where(F.col(member).isNotNull()).distinct()
     if within is not None:
-        pairs = pairs.join(within.select(member).distinct(), member, "left_semi")
-    return pairs.distinct().groupBy(key).agg(F.count(F.lit(1)).alias(alias))
+        unique = unique.join(within.select(member).distinct(), member, "left_semi")
+    return unique.groupBy(key).agg(F.count(F.lit(1)).alias(alias))
 
 
 def _collapsed(groups: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -546,7 +546,7 @@ def dwh_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    name, buckets = f"dshop_{uuid.uuid4().hex}", bucket_count(table(spark, sf_dir, "lineitem").count())
+    name, buckets = f"shop_{uuid.uuid4().hex}", bucket_count(table(spark, sf_dir, "lineitem").count())
     return Warehouse(spark, name, fresh_dir(spark, "warehouse"), buckets, id_type="BIGINT")
 
 
@@ -589,7 +589,8 @@ def dwh_bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity", "l_extendedprice"
     )
     buckets = bucket_count(lines.count())
-    pair, keys = salt_pair(lines, orders, "o_orderkey", parts=buckets), ["o_orderkey", SALT]
+    # Finer salts than buckets, so that the parts of a hot order spread evenly over the buckets.
+    pair, keys = salt_pair(lines, orders, "o_orderkey", parts=8 * buckets), ["o_orderkey", SALT]
     root, name = fresh_dir(spark, "bucketed"), uuid.uuid4().hex
     many = store_bucketed(pair.many, f"lines_{name}", keys, buckets, f"{root}/lines")
     one = store_bucketed(pair.one, f"orders_{name}", keys, buckets, f"{root}/orders")

@@ -69,7 +69,7 @@ def _spend_per_category(tables: Tables) -> DataFrame:
         [
             Link(tables["rental"], "rental_id", "inventory_id"),
             Link(tables["inventory"], "inventory_id", "film_id"),
-            Link(tables["film_category"], "film_id", "category_id"),
+            Link(tables["film_category"], "film_id", "category_id", unique=False),
         ],
         ["category_amount"],
     )
@@ -102,7 +102,7 @@ def top_actors_in_category(
     chosen = tables["category"].where(F.col("name") == category).select("category_id")
     films = tables["film_category"].join(chosen, "category_id").groupBy("film_id")
     films = films.agg(F.count("film_id").alias("films_count"))
-    counts = roll_up(films, [Link(tables["film_actor"], "film_id", "actor_id")], ["films_count"])
+    counts = roll_up(films, [Link(tables["film_actor"], "film_id", "actor_id", unique=False)], ["films_count"])
     actors = match_groups(tables["actor"], counts, "actor_id", _ACTOR_LABELS, counts=["films_count"])
     ranked = ranked_with_ties(actors, "films_count", k, descending, "rank")
     return ranked.select("actor_id", *_ACTOR_LABELS)
@@ -144,7 +144,7 @@ def _best_by_city(tables: Tables, starts: Column, has_hyphen: Column, measure: C
         per_copy,
         [
             Link(tables["inventory"], "inventory_id", "film_id"),
-            Link(tables["film_category"], "film_id", "category_id"),
+            Link(tables["film_category"], "film_id", "category_id", unique=False),
         ],
         values,
     )

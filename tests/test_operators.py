@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from tallystar.operators import (
     Arm,
+    Link,
     anti_join,
     anti_join_sql,
     best_per_arm,
@@ -20,6 +21,7 @@ from tallystar.operators import (
     lookup,
     match_groups,
     ranked_with_ties,
+    roll_up,
     salt_pair,
     salted_join,
     top_k,
@@ -61,13 +63,11 @@ def test_count_pairs(spark):
     assert rows_of(count_pairs(pairs, "k", "m", "n", within)) == [(1, 1)]
 
 
-def test_count_pairs_needs_one_exchange_of_the_pairs(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        pairs, within = spark.range(9).selectExpr("id AS k", "id AS m"), spark.range(9).withColumnRenamed("id", "m")
-        assert plan_of(count_pairs(pairs, "k", "m", "n", within)).count("Exchange hashpartitioning") <= 3
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_roll_up_with_a_hot_link(spark):
+    measures = spark.createDataFrame([(7, 2), (8, 5), (9, 1)], "k bigint, n bigint")
+    rows = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id % 3 + 7 END AS k", "id % 5 AS p")
+    plain = roll_up(measures, [Link(rows, "k", "p")], ["n"])
+    assert rows_of(roll_up(measures, [Link(rows, "k", "p", unique=False)], ["n"])) == rows_of(plain)
 
 
 def test_distinct_rows(spark):
