@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+# The values that hold the first k ranks are broadcast, so k has a bound.
+MAX_RANK = 100_000
+
 
 def _order(by: str, descending: bool, nulls_first: bool) -> Column:
     column = F.col(by)
@@ -35,9 +38,11 @@ def ranked_with_ties(df: DataFrame, by: str, k: int, descending: bool = True, al
 
     A window without partitions would pull every tied row into one task, and ties are unbounded. A row's rank is
     one plus the number of rows ahead of its value, so the rows are counted per value, the first k values are
-    ranked (no more can have a rank up to k), and those at most k values are joined back to the rows.
+    ranked (no more can have a rank up to k), and those at most k values are joined back to the rows. The result
+    is not sorted: a sort by rank would gather the ties again.
     """
-    order = _order(by, descending, nulls_first=False)
+    if k > MAX_RANK:
+        raise ValueError(f"ranks up to {MAX_RANK} are supported, not {k}")
     head = df.groupBy(F.col(by).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
     head = head.orderBy(_order("_value", descending, nulls_first=False)).limit(k)
     ahead = Window.orderBy(_order("_value", descending, nulls_first=False)).rowsBetween(
@@ -45,8 +50,7 @@ def ranked_with_ties(df: DataFrame, by: str, k: int, descending: bool = True, al
     )
     rank = F.coalesce(F.sum("_rows").over(ahead), F.lit(0).cast("bigint")) + 1
     ranks = head.select("_value", rank.alias(alias)).where(F.col(alias) <= k)
-    joined = df.join(F.broadcast(ranks), df[by].eqNullSafe(ranks["_value"]))
-    return joined.drop("_value").orderBy(alias, order)
+    return df.join(F.broadcast(ranks), df[by].eqNullSafe(ranks["_value"])).drop("_value")
 
 
 @dataclass(frozen=True)

@@ -291,14 +291,14 @@ def hour_part_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("total_hours")
 def total_hours_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spans(spark, sf_dir).select("event_type", "user_id", F.round(total_hours("lo", "hi"), 3).alias("h"))
+    return _spans(spark, sf_dir).select("event_type", "user_id", total_hours("lo", "hi").alias("h"))
 
 
 
 @register("total_hours_sum")
 def total_hours_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = _spans(spark, sf_dir).groupBy("event_type")
-    return spans.agg(F.round(F.sum(total_hours("lo", "hi")), 2).alias("h"))
+    return spans.agg(F.round(F.sum(total_hours("lo", "hi")), 6).alias("h"))
 
 
 # ---- star schema --------------------------------------------------------------------------------------------

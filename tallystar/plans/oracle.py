@@ -132,10 +132,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT event_type, CAST(sum(date_part('hour', hi - lo)) AS BIGINT) AS h FROM ({_SPANS}) t GROUP BY event_type
     """,
     "total_hours": f"""
-        SELECT event_type, user_id, round(date_diff('second', lo, hi) / 3600.0, 3) AS h FROM ({_SPANS}) t
+        SELECT event_type, user_id, date_diff('second', lo, hi) / 3600.0 AS h FROM ({_SPANS}) t
     """,
     "total_hours_sum": f"""
-        SELECT event_type, round(sum(date_diff('second', lo, hi)) / 3600.0, 2) AS h FROM ({_SPANS}) t
+        SELECT event_type, round(sum(date_diff('second', lo, hi)) / 3600.0, 6) AS h FROM ({_SPANS}) t
         GROUP BY event_type
     """,
     "distinct_rows": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem",

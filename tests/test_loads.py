@@ -136,6 +136,14 @@ def test_append_new_rows_twice(spark):
     assert rows_of(list_tables(spark, database)) == [("CLIENTS_DIM",)]
 
 
+def test_append_new_whole_rows_twice(spark):
+    database, schema = _database(spark), "time_id bigint, product_id int"
+    for rows in ([(20210102, 1), (20210102, None)], [(20210102, None), (20210103, 1), (20210103, 1)]):
+        for _ in range(2):
+            append_new_rows(spark.createDataFrame(rows, schema), database, "gaps_fact", ["time_id", "product_id"])
+    assert rows_of(read_table(spark, database, "gaps_fact")) == [(20210102, 1), (20210102, None), (20210103, 1)]
+
+
 def test_over_long_text_is_an_error_in_a_database(spark):
     df = spark.createDataFrame([(1, "x" * 31, 5)], CLIENTS)
     with pytest.raises(Exception, match="(?i)truncation"):

@@ -112,6 +112,11 @@ def test_ranked_with_ties_keeps_ties_out_of_the_window(spark):
     assert "TakeOrderedAndProject(limit=3" in below_window[1]
 
 
+def test_ranks_have_a_bound(spark):
+    with pytest.raises(ValueError, match="ranks up to"):
+        ranked_with_ties(spark.range(3), "id", 1_000_000)
+
+
 def test_best_per_arm(spark):
     totals = spark.createDataFrame(
         [(1, "x", None, 2, 4.0, 1), (2, "y", 3.0, 1, 4.0, 1), (3, "z", 9.0, 0, None, 0)],
