@@ -7,7 +7,7 @@ from tallystar.operators.aggregate import (
     match_groups,
     roll_up,
 )
-from tallystar.operators.joins import anti_join, anti_join_sql, lookup
+from tallystar.operators.joins import anti_join, anti_join_sql, lookup, semi_join
 from tallystar.operators.ranking import Arm, best_per_arm, ranked_with_ties, top_k
 from tallystar.operators.setops import union_all, union_distinct
 from tallystar.operators.skew import Salted, salt_pair, salted_join
@@ -29,6 +29,7 @@ __all__ = [
     "roll_up",
     "salt_pair",
     "salted_join",
+    "semi_join",
     "top_k",
     "union_all",
     "union_distinct",

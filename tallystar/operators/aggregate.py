@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystar.operators.joins import semi_join
 from tallystar.operators.skew import salted_join
 
 _COPIES = "_copies"
@@ -54,12 +55,11 @@ def count_pairs(pairs: DataFrame, key: str, member: str, alias: str, within: Dat
     """Distinct members per key, with members restricted to those found in ``within``.
 
     Both sides of the match are made distinct first, so a member with very many rows shrinks inside the map tasks
-    before it meets its own kind in one; the distinct members on the right are exchanged by the join key and cost
-    no shuffle of their own. The match is a semi-join, which cannot multiply rows.
+    before it meets its own kind in one. The match is a semi-join, which cannot multiply rows.
     """
     unique = pairs.select(key, member).where(F.col(member).isNotNull()).distinct()
     if within is not None:
-        unique = unique.join(within.select(member).distinct(), member, "left_semi")
+        unique = semi_join(unique, within, member, member)
     return unique.groupBy(key).agg(F.count(F.lit(1)).alias(alias))
 
 

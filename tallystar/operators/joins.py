@@ -14,11 +14,22 @@ BROADCAST_ROWS = 200_000
 def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows of ``left`` without a partner in ``right``.
 
-    The right side is reduced to its distinct keys first. That aggregate exchanges by the join key, which the
-    join needs anyway, so it costs no extra shuffle and a key with very many rows never reaches one task.
+    The right side is reduced to its distinct keys first, so a key with very many rows there shrinks inside the map
+    tasks. The join compares a hash besides the key. That gives both sides an exchange of their own, which adaptive
+    execution needs to split a key, or a missing one, with very many rows on the left.
     """
+    return _match(left, right, left_key, right_key, "left_anti")
+
+
+def semi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Rows of ``left`` with a partner in ``right``, joined in the same way."""
+    return _match(left, right, left_key, right_key, "left_semi")
+
+
+def _match(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
     present = right.select(F.col(right_key).alias("_present")).distinct()
-    return left.join(present, left[left_key] == present["_present"], "left_anti")
+    same = (F.xxhash64(left[left_key]) == F.xxhash64("_present")) & (left[left_key] == F.col("_present"))
+    return left.join(present, same, how)
 
 
 def anti_join_sql(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -27,7 +38,8 @@ def anti_join_sql(left: DataFrame, right: DataFrame, left_key: str, right_key: s
         f"""
         SELECT l.* FROM {{left}} l
         WHERE NOT EXISTS (
-            SELECT 1 FROM (SELECT DISTINCT {right_key} FROM {{right}}) r WHERE r.{right_key} = l.{left_key}
+            SELECT 1 FROM (SELECT DISTINCT {right_key} FROM {{right}}) r
+            WHERE r.{right_key} = l.{left_key} AND xxhash64(r.{right_key}) = xxhash64(l.{left_key})
         )
         """,
         left=left,
