@@ -24,20 +24,25 @@ def shared_root(spark: SparkSession) -> str:
     if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tallystar-")
+        _LOCAL_ROOTS[context.applicationId] = root = tempfile.mkdtemp(prefix="tallystar-")
+        _remove_at_exit(spark, root)
     return _LOCAL_ROOTS[context.applicationId]
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, removed when the application ends."""
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    file_system.mkdirs(hadoop_path)
-    file_system.deleteOnExit(hadoop_path)
+    _remove_at_exit(spark, path)
     return path
 
 
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system.mkdirs(folder)
+    file_system.deleteOnExit(folder)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return it as a scan of the written table.
 
