@@ -25,9 +25,9 @@ CORRUPT = "_corrupt_record"
 _QUOTED_EMPTY = "␟<empty>␟"
 
 
-def _csv_reader(spark: SparkSession) -> DataFrameReader:
-    # A quoted line break means that a file cannot be split, so the sink bounds the size of each file.
-    return spark.read.options(**CSV_DIALECT).option("multiLine", True).option("emptyValue", _QUOTED_EMPTY)
+def _csv_reader(spark: SparkSession, line_breaks: bool = True) -> DataFrameReader:
+    # Files with quoted line breaks cannot be split, so the sink bounds the size of each file.
+    return spark.read.options(**CSV_DIALECT).option("multiLine", line_breaks).option("emptyValue", _QUOTED_EMPTY)
 
 
 def _restore_empty(df: DataFrame) -> DataFrame:
@@ -49,11 +49,13 @@ def read_csv(
     """CSV with a header and a declared schema.
 
     Columns are bound by position, so a header in another order is an error rather than silent NULLs. A value
-    that does not fit its type becomes NULL; ``keep_corrupt`` adds the raw row as ``_corrupt_record``.
+    that does not fit its type becomes NULL; ``keep_corrupt`` adds the raw row as ``_corrupt_record``. Files
+    without a text column hold no quoted line breaks, so they are split over tasks.
     """
+    has_text = any(isinstance(f.dataType, T.StringType) for f in schema)
     if keep_corrupt:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = _csv_reader(spark).schema(schema).option("enforceSchema", False)
+    reader = _csv_reader(spark, has_text).schema(schema).option("enforceSchema", False)
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if base_path is not None:
