@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystar.llm.common import gathered, replacing, texts, with_columns
-from tallystar.llm.vocabulary import Memo, RankTable, chunks, load, pre_tokens
+from tallystar.llm.common import gathered, parted, replacing, texts, with_columns
+from tallystar.llm.vocabulary import Memo, RankTable, chunk_keys, load, pre_tokens
 
 GAP = -1  # stands between sequences and where a symbol was taken; in no pair
 
@@ -111,7 +111,7 @@ class Encoder:
         segments = [self.vocabulary.segments(t) if t else [] for t in batch]
         known = self.memo.learn(s for own in segments for s in own if s not in self.special)
         ids = [
-            b"".join(self.special.get(s) or b"".join(map(known.__getitem__, chunks(s))) for s in own)
+            b"".join(self.special.get(s) or b"".join(map(known.__getitem__, chunk_keys(s))) for s in own)
             for own in segments
         ]
         offsets = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
@@ -131,7 +131,7 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
         encoder = Encoder(path)
         for batch in gathered(batches, "__text"):
             ids = encoder.encode(texts(batch, "__text"))
-            yield with_columns(batch.drop_columns(["__text"]), **{into: ids})
+            yield from parted(with_columns(batch.drop_columns(["__text"]), **{into: ids}))
 
     return out.mapInArrow(work, schema)
 

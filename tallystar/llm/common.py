@@ -37,7 +37,7 @@ def texts(batch: pa.RecordBatch, name: str) -> Iterator[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def gathered(batches: Iterator[pa.RecordBatch], name: str, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def gathered(batches: Iterator[pa.RecordBatch], name: str, size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of text, for work that is cheaper on many rows at once."""
     held: list[pa.RecordBatch] = []
     filled = 0
@@ -51,6 +51,12 @@ def gathered(batches: Iterator[pa.RecordBatch], name: str, size: int = 16 << 20)
         yield pa.concat_batches(held)
 
 
+def parted(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of the usual number of rows."""
+    for at in range(0, batch.num_rows, BATCH_ROWS):
+        yield batch.slice(at, BATCH_ROWS)
+
+
 def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     """The batch with columns added, replacing those of the same name."""
     arrays = {n: c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n not in columns}

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystar.llm.common import gathered, replacing, texts, with_columns
-from tallystar.llm.vocabulary import Memo, RankTable, chunks, load, pre_tokens
+from tallystar.llm.common import gathered, parted, replacing, texts, with_columns
+from tallystar.llm.vocabulary import Memo, RankTable, chunk_keys, load, pre_tokens
 
 def merged_lengths(sequences: list[bytes], byte_ids: np.ndarray, table: RankTable) -> np.ndarray:
     """Symbols that are left of each sequence of bytes once no pair merges any more."""
@@ -68,7 +68,7 @@ class Counter:
         segments = [self.vocabulary.segments(t) if t else [] for t in batch]
         known = self.memo.learn(s for own in segments for s in own if s not in special)
         return [
-            sum(1 if s in special else sum(map(known.__getitem__, chunks(s))) for s in own) for own in segments
+            sum(1 if s in special else sum(map(known.__getitem__, chunk_keys(s))) for s in own) for own in segments
         ]
 
 
@@ -88,6 +88,6 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", into: str = "n_to
         counter = Counter(path)
         for batch in gathered(batches, "__text"):
             counts = pa.array(counter.count(texts(batch, "__text")), pa.int64())
-            yield with_columns(batch.drop_columns(["__text"]), **{into: counts})
+            yield from parted(with_columns(batch.drop_columns(["__text"]), **{into: counts}))
 
     return out.mapInArrow(work, schema)
