@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, quality, token_counts
+from tallystar.llm import bpe, language, quality, token_counts
 from tallystar.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, and whether they are more than a context holds."""
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@register
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learnt from four fifths of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    filters = language.learn(docs.where(language.learnable(F.col("doc_id"))))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    found = language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), filters)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
