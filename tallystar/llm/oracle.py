@@ -42,4 +42,16 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 FROM counted
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_quality": QUALITY}
+WARC = """
+WITH hashed AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_quality": QUALITY, "op9_warc": WARC}

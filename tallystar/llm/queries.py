@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, language, quality, token_counts
+from tallystar.llm import bpe, language, quality, token_counts, warc
 from tallystar.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,18 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     found = language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), filters)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back through the capture index of their urls."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archive = warc.build_index(warc.write_archives(pages))
+    records = warc.read_urls(archive, pages.select("url"))
+    return records.select(
+        F.col("page_id").cast("long"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long"),
+    )
