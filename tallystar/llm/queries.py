@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, language, quality, token_counts, warc
+from tallystar.llm import bpe, language, quality, token_counts, url_rules, vectors, warc
 from tallystar.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,16 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.col("refers_to").cast("long"),
     )
+
+
+@register
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined")
+
+
+@register
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every embedding."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
