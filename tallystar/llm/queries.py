@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, language, quality, token_counts, url_rules, vectors, warc
+from tallystar.llm import bpe, jaccard, language, quality, token_counts, url_rules, vectors, warc
 from tallystar.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,9 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every embedding."""
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@register
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of every document and the class of those that overlap by three quarters."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -158,11 +158,14 @@ def judge(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES) -
     tokens = tokens_of(address, F.col("host"), F.col("path"))
     rows = rows.withColumn("__tokens", tokens)
     known = rows.select(F.col("__tokens").alias("tokens"), F.col("__listed.verdict").alias("label"))
-    mined = match(known.where("label is null"), mine(known.where(F.size("tokens") > 0)))
-    open_rows = F.when(F.col("__listed").isNull(), F.col("__tokens"))
-    out = rows.withColumn("__open", open_rows).join(
-        mined.select(F.col("tokens").alias("__open"), F.col("label").alias("__label"), "antecedent"), "__open", "left"
+    mined = stage(match(known.where("label is null"), mine(known.where(F.size("tokens") > 0))), "mined-verdicts")
+    mined = mined.select(F.col("tokens").alias("__tokens"), F.col("label").alias("__label"), "antecedent")
+    # Only rows that the list leaves open are looked up; the staged verdicts are broadcast if small, else AQE splits
+    # the rows of a frequent token set.
+    decided = rows.where("__listed is not null").withColumns(
+        {"__label": F.lit(None).cast("string"), "antecedent": F.lit(None).cast("array<string>")}
     )
+    out = decided.unionByName(rows.where("__listed is null").join(mined, "__tokens", "left"))
     return out.select(
         *replacing(pages, *added),
         "host",
