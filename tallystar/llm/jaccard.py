@@ -35,12 +35,13 @@ from tallystar.scratch import stage
 
 PERCENT = 75
 FREQUENT_ROWS = 1 << 22  # shingles that a task looks through for frequent ones at once
-FREQUENT = 16  # times that a shingle must occur among them
-FREQUENT_LIST = 1 << 18  # length of the list that goes to all tasks
+FREQUENT = 2  # sets among them that a shingle must be in
+FREQUENT_LIST = 1 << 19  # length of the list that goes to all tasks
 LIST_ENTRIES = 1 << 20  # entries of a partition of index lists
 HELD_ENTRIES = 1 << 20
 SHORT_LIST = 24  # sets of a list that pairs all of them at once
 LEADERS = 4
+OPEN_PER_SET = 2048  # pairs that a long list may leave open per set before it is thinned out
 ROUNDS = 6  # that a long list is thinned out by leaders before all its open pairs are formed
 FILTER_BITS = 1 << 24  # of the filter for the sets that verification needs
 
@@ -291,8 +292,35 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _in_blocks((k, t.column("entries").to_pylist()) for k, t in _by_key(batches, "list"))
 
 
+class Bitmaps:
+    """The bitmaps of the sets of one list, by number of bits. Any two sets are compared at the smaller number."""
+
+    def __init__(self, bits: list[bytes]):
+        self.words = np.array([len(b) // 8 for b in bits])
+        self.folded: dict[int, np.ndarray] = {}
+        for words in sorted(set(self.words.tolist()), reverse=True):
+            table = np.zeros((len(bits), words), dtype=np.uint64)
+            for larger, held in self.folded.items():
+                own = self.words >= larger
+                table[own] = np.bitwise_xor.reduce(held[own].reshape(-1, larger // words, words), axis=1)
+                break
+            own = np.flatnonzero(self.words == words)
+            table[own] = np.array([np.frombuffer(bits[i], dtype=np.uint64) for i in own])
+            self.folded = {words: table} | self.folded
+
+    def least_differences(self, i: int, others: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(others), dtype=np.int64)
+        common = np.minimum(self.words[others], self.words[i])
+        for words in set(common.tolist()):
+            at = common == words
+            table = self.folded[words]
+            found[at] = np.bitwise_count(table[others[at]] ^ table[i]).sum(axis=1)
+        return found
+
+
 def _again(round_: int):
-    """Pairs of long lists whose sets have different answers: all, or those with new leaders while they are many."""
+    """Pairs of long lists whose sets have different answers and that their bitmaps leave possible: all such pairs, or
+    those with new leaders while they are many."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, table in _by_key(batches, "list"):
@@ -302,17 +330,21 @@ def _again(round_: int):
                 continue
             order = np.lexsort((doc, n))
             doc, n, place, answer = doc[order], n[order], place[order], answer[order]
+            bitmaps = Bitmaps([table.column("bits")[int(i)].as_py() for i in order])
             largest = np.searchsorted(n, n * 100 // PERCENT, side="right")  # by size, the last partner of each set
             unequal = (len(doc) ** 2 - int((sizes**2).sum())) // 2
-            few = unequal <= 64 * len(doc) or round_ >= ROUNDS
-            chosen = np.arange(len(doc)) if few else np.sort(np.argsort(_priority(doc, round_), kind="stable")[: 2 * LEADERS])
+            few = unequal <= OPEN_PER_SET * len(doc) or round_ >= ROUNDS
+            chosen = np.arange(len(doc))
+            if not few:
+                chosen = np.argsort(_priority(doc, round_), kind="stable")[: 2 * LEADERS]
             for i in chosen.tolist():
                 j = np.arange(i + 1, largest[i]) if few else np.flatnonzero(np.arange(len(doc)) != i)
                 j = j[answer[j] != answer[i]]
                 j = j[reachable(n[j], place[j], n[i], place[i])]
+                j = j[bitmaps.least_differences(i, j) <= n[j] + n[i] - 2 * needed(n[j], n[i])]
                 if len(j):
                     low, high = np.minimum(doc[j], doc[i]), np.maximum(doc[j], doc[i])
-                    yield _rows(a=low, b=high, finished=pa.array([few] * len(j), pa.bool_()))
+                    yield _rows(a=low, b=high, finished=pa.array([True] * len(j), pa.bool_()))
             if not few:
                 yield _rows(a=doc[:1], b=doc[:1], finished=pa.array([False], pa.bool_()))
 
@@ -347,8 +379,8 @@ class Sets:
         full, more sets are made than needed, and the join leaves them out."""
         parts = ids.mapInArrow(_filter_of, "place long, byte long").groupBy("place").agg(F.bit_or("byte").alias("byte"))
         bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-        for row in parts.toLocalIterator():  # at most FILTER_BITS / 8 rows
-            bits[row["place"]] = row["byte"]
+        found = parts.toArrow()  # at most FILTER_BITS / 8 rows
+        bits[np.asarray(found["place"])] = np.asarray(found["byte"])
         shared = self.docs.sparkSession.sparkContext.broadcast(bits)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,10 +456,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     survey = stage(docs.mapInArrow(_survey, "row long, n long, digest long, frequent boolean"), "survey")
     sizes = survey.where("not frequent").select(F.col("row").alias("doc_id"), "n", "digest")
     counts = survey.where("frequent").groupBy("digest").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "digest").limit(FREQUENT_LIST).collect()
-    shingles = np.array([r["digest"] for r in top], dtype=np.int64).view(np.uint64)
+    top = counts.orderBy(F.desc("n"), "digest").limit(FREQUENT_LIST).toArrow()
+    shingles = np.asarray(top["digest"]).astype(np.int64).view(np.uint64)
     by = np.argsort(shingles)
-    order = spark.sparkContext.broadcast(Order(shingles[by], np.array([r["n"] for r in top], dtype=np.int64)[by]))
+    order = spark.sparkContext.broadcast(Order(shingles[by], np.asarray(top["n"])[by]))
 
     total = sizes.agg(F.sum("n")).first()[0] or 0
     lists = max(1, -(-total * (100 - PERCENT) // 100 // LIST_ENTRIES))
@@ -456,18 +488,18 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     links = links.union(verified(rest, sets))
     named = stage(components(links), "answers")
 
+    long = stage(long.join(bitmaps.select("doc", "bits"), "doc"), "long-lists")
     checked = candidates.select("a", "b")
     for round_ in range(1, ROUNDS + 1):
         answered = long.join(named.toDF("doc", "answer"), "doc", "left")
         answered = answered.withColumn("answer", F.coalesce("answer", "doc"))
         placed = answered.repartition("list").sortWithinPartitions("list")
         found = stage(placed.mapInArrow(_again(round_), "a long, b long, finished boolean"), "again")
-        if found.isEmpty():
-            break
         new = found.where("a <> b").select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
-        new = stage(possible(new.withColumn("shared", F.lit(0).cast("long")), bitmaps).select("a", "b"), "candidates")
-        links = links.union(verified(new, sets))
-        named = stage(components(links), "answers")
+        new = stage(new, "open")
+        if not new.isEmpty():
+            links = links.union(verified(new, sets))
+            named = stage(components(links), "answers")
         if found.where("not finished").isEmpty():
             break
         checked = checked.union(new)
