@@ -5,11 +5,75 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallystar.llm import jaccard, language, packing, quality, secrets
+from tallystar.llm.common import prepare, table
+from tallystar.scratch import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
-ORACLE_SQL = None
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in a language that was learnt; null texts and texts without a letter go."""
+    prepare(spark)
+    filters = language.learn(docs.where(language.learnable(F.col("doc_id"))))
+    found = language.identify(docs, filters)
+    return found.where(F.col("lang_pred") != language.UNKNOWN).select(docs.columns)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base check and the threshold table."""
+    prepare(spark)
+    return docs.where(quality.verdict(F.col("text"))["kept"])
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies; a null id stays.
+
+    Rows that share an id share their fate; of those that share id and text, one stays.
+    """
+    prepare(spark)
+    classes = stage(jaccard.near_duplicates(docs), "classes")
+    rows = classes.where("doc_id is not null").groupBy("doc_id")
+    found = rows.agg(F.count("*").alias("n"), F.bool_or(F.expr("component_id <> doc_id")).alias("copy"))
+    found = stage(found.where("n > 1 or copy").select("doc_id", "copy"), "copies")
+    left = docs.join(found.where("copy"), "doc_id", "left_anti").select(docs.columns)
+    again = found.where("not copy").select("doc_id")
+    if again.isEmpty():
+        return left
+    once = left.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    return left.join(again, "doc_id", "left_anti").select(docs.columns).union(once)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by a mark; the number of characters follows the text."""
+    prepare(spark)
+    clean = secrets.redact(docs, secrets.scanner(docs))
+    changed = F.col("n_secrets") > 0
+    n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", n_chars).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sequences of all documents in batches."""
+    prepare(spark)
+    return packing.pack(docs, packing.words(F.col("text")))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language),
+    ("quality", good_quality),
+    ("near copies", one_of_each),
+    ("secrets", without_secrets),
+    ("packing", packed),
+]
+ORACLE_SQL = None  # training, similarity joins and packing are not SQL; tests compare with a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages in order. Each result is written to the shared folder and read again for the next stage."""
+    docs = table(prepare(spark), sf_dir, "documents")
+    for name, work in STAGES[:-1]:
+        docs = stage(work(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

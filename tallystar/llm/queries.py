@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, jaccard, language, quality, token_counts, url_rules, vectors, warc
+from tallystar.llm import bpe, jaccard, language, packing, quality, secrets, token_counts, url_rules, vectors, warc
 from tallystar.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,17 @@ def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles of every document and the class of those that overlap by three quarters."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of all documents, with lengths in words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, packing.words(F.col("text")))
+
+
+@register
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of every document, with the forest's verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.find(docs, secrets.scanner(docs)).drop("value")
