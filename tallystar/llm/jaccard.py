@@ -1,9 +1,9 @@
 """Exact Jaccard join of shingle sets, with skipping by position and by set relations.
 
-1. A first scan gives each document's set size and digest, and the shingles that are frequent among the rows of a task.
-   The most frequent ones form a list of bounded size that only settles the order of shingles: rare first. Any order
-   gives the same result.
-2. A second scan sends the first ``n - ceil(0.75 n) + 1`` shingles of each set, and a parity bitmap of two bits per
+1. A first scan gives each document's set size and digest, and counts the sets that shingles are in. The most frequent
+   shingles form a list of bounded size that only settles the order of shingles: rare first. Any order gives the same
+   result.
+2. A second scan sends the first ``n - ceil(0.75 n) + 1`` shingles of each set, and a parity bitmap of eight bits per
    shingle, to index lists. Two sets that reach the threshold share a list. Equal sets have equal entries and meet in
    every list, so a list keeps one of them, the smallest document.
 3. In a list, entries are in the order of set size. Pairs are formed only within the size range that can reach the
@@ -34,9 +34,11 @@ from tallystar.llm.shingles import digest, mixed, shingle_sets
 from tallystar.scratch import stage
 
 PERCENT = 75
-FREQUENT_ROWS = 1 << 22  # shingles that a task looks through for frequent ones at once
-FREQUENT = 2  # sets among them that a shingle must be in
-FREQUENT_LIST = 1 << 19  # length of the list that goes to all tasks
+LOW = np.uint64(0xFFFFFFFF)
+COUNTED_TO = np.uint64(int(0.36 * 2**64))  # smaller shingles are counted; larger ones are hardly ever in a prefix
+FREQUENT = 3  # sets that a shingle must be in to be listed as frequent
+FREQUENT_LIST = 1 << 20  # length of the list that goes to all tasks
+BYTES_PER_WORD = 6
 LIST_ENTRIES = 1 << 20  # entries of a partition of index lists
 HELD_ENTRIES = 1 << 20
 SHORT_LIST = 24  # sets of a list that pairs all of them at once
@@ -63,30 +65,59 @@ def _rows(**columns: np.ndarray | pa.Array) -> pa.RecordBatch:
 # ---- first scan ---------------------------------------------------------------------------------------------
 
 
-def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document (size, digest), and rows without a document for the shingles that are frequent here."""
-    held: dict[int, np.ndarray] = {}
-    size = 0
+def _tokens(shingles: np.ndarray, lists: int) -> np.ndarray:
+    """The index list of each shingle and 32 bits of it, in one number. Equal shingles stay equal; others may meet."""
+    spread = mixed(shingles)
+    return ((spread >> np.uint64(32)) % np.uint64(lists)).astype(np.int64) << 32 | (spread & LOW).astype(np.int64)
 
-    def frequent() -> pa.RecordBatch:
-        found, n = np.unique(np.concatenate(list(held.values())), return_counts=True)
-        found, n = found[n >= FREQUENT], n[n >= FREQUENT]
-        none = pa.nulls(len(found), pa.int64())
-        return _rows(row=none, n=pa.array(n.astype(np.int64)), digest=pa.array(found.view(np.int64)), frequent=pa.array([True] * len(found), pa.bool_()))
 
-    for ids, sets in _sets(batches):
-        digests = [digest(s) for s in sets]
-        sizes = [len(s) for s in sets]
-        yield _rows(row=pa.array(ids, pa.int64()), n=pa.array(sizes, pa.int64()), digest=pa.array(digests, pa.int64()), frequent=pa.array([False] * len(ids), pa.bool_()))
-        for d, s in zip(digests, sets, strict=True):
-            if len(s) and d not in held:
-                held[d] = s
-                size += len(s)
-        if size >= FREQUENT_ROWS:
-            yield frequent()
-            held, size = {}, 0
-    if held:
-        yield frequent()
+def _by_list(tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each list with the places of its tokens."""
+    by = np.argsort(tokens >> 32, kind="stable")
+    for own in np.split(by, np.flatnonzero(np.diff(tokens[by] >> 32)) + 1):
+        yield int(tokens[own[0]] >> 32), own
+
+
+def _survey(lists: int):
+    """A row per document (size, digest), and rows without one: what is to be counted for each index list."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        size = 0
+
+        def counted() -> pa.RecordBatch:
+            tokens = _tokens(np.concatenate(list(held.values())), lists)
+            parts = [(k, tokens[own].astype(np.uint32).tobytes()) for k, own in _by_list(tokens)] if len(tokens) else []
+            none = pa.nulls(len(parts), pa.int64())
+            names, blobs = pa.array([k for k, _ in parts], pa.int64()), pa.array([v for _, v in parts], pa.binary())
+            return _rows(row=none, n=none, digest=none, list=names, tokens=blobs)
+
+        for ids, sets in _sets(batches):
+            digests = [digest(s) for s in sets]
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            none = pa.nulls(len(ids), pa.int64())
+            row = {"row": pa.array(ids, pa.int64()), "n": sizes, "digest": pa.array(digests, pa.int64())}
+            yield _rows(**row, list=none, tokens=pa.nulls(len(ids), pa.binary()))
+            for d, s in zip(digests, sets, strict=True):
+                if len(s) and d not in held:
+                    held[d] = s[: np.searchsorted(s, COUNTED_TO)]
+                    size += len(held[d])
+            if size >= HELD_ENTRIES:
+                yield counted()
+                held, size = {}, 0
+        if held:
+            yield counted()
+
+    return work
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of each list that are in at least ``FREQUENT`` sets."""
+    for number, table in _by_key(batches, "list"):
+        tokens = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in table.column("tokens").to_pylist()])
+        found, n = np.unique(tokens, return_counts=True)
+        found, n = found[n >= FREQUENT], n[n >= FREQUENT]
+        yield _rows(token=number << 32 | found.astype(np.int64), n=n.astype(np.int64))
 
 
 # ---- second scan --------------------------------------------------------------------------------------------
@@ -94,26 +125,28 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Order:
-    """Frequent shingles in ascending order with their counts: rare shingles come first."""
+    """Tokens of frequent shingles in ascending order with their counts: rare shingles come first."""
 
-    shingles: np.ndarray
+    tokens: np.ndarray
     counts: np.ndarray
+    lists: int
 
     def prefix(self, shingles: np.ndarray) -> np.ndarray:
         """The first shingles of a set, among which any set that reaches the threshold has one."""
         n = len(shingles)
         length = n - -(-PERCENT * n // 100) + 1
-        if len(self.shingles):
-            at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
-            counts = np.where(self.shingles[at] == shingles, self.counts[at], 0)
+        if len(self.tokens):
+            own = _tokens(shingles, self.lists)
+            at = np.minimum(np.searchsorted(self.tokens, own), len(self.tokens) - 1)
+            counts = np.where(self.tokens[at] == own, self.counts[at], 0)
             if counts.any():
                 return shingles[np.lexsort((shingles, counts))[:length]]
         return shingles[:length]
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Parity of the shingles in each of 2 n places (rounded up to a power of two)."""
-    bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length())
+    """Parity of the shingles in each of 8 n places (rounded up to a power of two)."""
+    bits = max(64, 1 << int(8 * len(shingles) - 1).bit_length())
     counts = np.bincount((mixed(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1, bitorder="little").tobytes()
 
@@ -140,23 +173,19 @@ def _entries(order, lists: int):
             tokens = np.concatenate(prefixes)
             owner = np.repeat(np.arange(len(docs)), lengths)
             place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            spread = mixed(tokens)
-            number = ((spread >> np.uint64(32)) % np.uint64(lists)).astype(np.int64)
-            short = (spread & np.uint64(0xFFFFFFFF)).astype(np.uint32)  # equal shingles stay equal; others may meet
-            by = np.argsort(number, kind="stable")
-            cuts = np.flatnonzero(np.diff(number[by])) + 1
+            key = _tokens(tokens, lists)
             names, parts = [], []
-            for own in np.split(by, cuts):
+            for number, own in _by_list(key):
                 used, local = np.unique(owner[own], return_inverse=True)
                 parts.append(
                     np.array([len(used), len(own)]).tobytes()
                     + docs[used].tobytes()
-                    + short[own].tobytes()
+                    + key[own].astype(np.uint32).tobytes()
                     + local.astype(np.uint32).tobytes()
                     + place[own].astype(np.uint32).tobytes()
                 )
-                names.append(int(number[own[0]]))
-            return _rows(list=pa.array(names, pa.int32()), entries=pa.array(parts, pa.binary()))
+                names.append(number)
+            return _rows(list=pa.array(names, pa.int64()), entries=pa.array(parts, pa.binary()))
 
         for ids, sets in _sets(batches):
             for i, s in zip(ids, sets, strict=True):
@@ -453,18 +482,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """One row per row of ``df``: ``doc_id``, ``n_shingles``, ``component_id``."""
     spark = df.sparkSession
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    survey = stage(docs.mapInArrow(_survey, "row long, n long, digest long, frequent boolean"), "survey")
-    sizes = survey.where("not frequent").select(F.col("row").alias("doc_id"), "n", "digest")
-    counts = survey.where("frequent").groupBy("digest").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "digest").limit(FREQUENT_LIST).toArrow()
-    shingles = np.asarray(top["digest"]).astype(np.int64).view(np.uint64)
-    by = np.argsort(shingles)
-    order = spark.sparkContext.broadcast(Order(shingles[by], np.asarray(top["n"])[by]))
-
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    lists = max(1, -(-total * (100 - PERCENT) // 100 // LIST_ENTRIES))
-    entries = docs.mapInArrow(_entries(order, lists), "list int, entries binary")
-    lists_rows = entries.repartition(lists, "list").sortWithinPartitions("list").selectExpr("cast(list as long) list", "entries")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    lists = max(1, -(-size * (100 - PERCENT) // 100 // BYTES_PER_WORD // LIST_ENTRIES))
+    survey = docs.mapInArrow(_survey(lists), "row long, n long, digest long, list long, tokens binary")
+    survey = stage(survey, "survey")
+    sizes = survey.where("list is null").select(F.col("row").alias("doc_id"), "n", "digest")
+    tokens = survey.where("list is not null").select("list", "tokens").repartition(lists, "list")
+    counts = stage(tokens.sortWithinPartitions("list").mapInArrow(_frequent, "token long, n long"), "frequent")
+    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT_LIST).toArrow()
+    found = np.asarray(top["token"]).astype(np.int64)
+    by = np.argsort(found)
+    order = spark.sparkContext.broadcast(Order(found[by], np.asarray(top["n"])[by], lists))
+
+    entries = docs.mapInArrow(_entries(order, lists), "list long, entries binary")
+    lists_rows = entries.repartition(lists, "list").sortWithinPartitions("list")
     schema = "a long, b long, shared long, list long, doc long, n long, place long"
     indexed = stage(lists_rows.mapInArrow(_index, schema), "index")
     pairs = indexed.where("list is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
