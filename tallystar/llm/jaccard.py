@@ -44,6 +44,7 @@ HELD_ENTRIES = 1 << 20
 SHORT_LIST = 24  # sets of a list that pairs all of them at once
 LEADERS = 4
 OPEN_PER_SET = 2048  # pairs that a long list may leave open per set before it is thinned out
+OWN_LISTS = 16  # long lists of a set, the smallest numbers first, that tell which list gives a pair
 ROUNDS = 6  # that a long list is thinned out by leaders before all its open pairs are formed
 FILTER_BITS = 1 << 24  # of the filter for the sets that verification needs
 
@@ -352,7 +353,7 @@ def _again(round_: int):
     those with new leaders while they are many."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table in _by_key(batches, "list"):
+        for number, table in _by_key(batches, "list"):
             doc, n, place, answer = (np.asarray(table.column(c)) for c in ("doc", "n", "place", "answer"))
             answers, sizes = np.unique(answer, return_counts=True)
             if len(answers) < 2:
@@ -360,6 +361,10 @@ def _again(round_: int):
             order = np.lexsort((doc, n))
             doc, n, place, answer = doc[order], n[order], place[order], answer[order]
             bitmaps = Bitmaps([table.column("bits")[int(i)].as_py() for i in order])
+            own_lists = np.full((len(doc), OWN_LISTS), -1, dtype=np.int64)
+            for row, i in enumerate(order.tolist()):
+                first = table.column("own")[i].as_py()
+                own_lists[row, : len(first)] = first
             largest = np.searchsorted(n, n * 100 // PERCENT, side="right")  # by size, the last partner of each set
             unequal = (len(doc) ** 2 - int((sizes**2).sum())) // 2
             few = unequal <= OPEN_PER_SET * len(doc) or round_ >= ROUNDS
@@ -371,6 +376,10 @@ def _again(round_: int):
                 j = j[answer[j] != answer[i]]
                 j = j[reachable(n[j], place[j], n[i], place[i])]
                 j = j[bitmaps.least_differences(i, j) <= n[j] + n[i] - 2 * needed(n[j], n[i])]
+                # If the first lists of two sets meet, their smallest common list is among them: it alone gives the pair.
+                shared = (own_lists[j][:, :, None] == own_lists[i][own_lists[i] >= 0]).any(axis=2)
+                smallest = own_lists[j, shared.argmax(axis=1)]
+                j = j[~shared.any(axis=1) | (smallest == number)]
                 if len(j):
                     low, high = np.minimum(doc[j], doc[i]), np.maximum(doc[j], doc[i])
                     yield _rows(a=low, b=high, finished=pa.array([True] * len(j), pa.bool_()))
@@ -519,7 +528,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     links = links.union(verified(rest, sets))
     named = stage(components(links), "answers")
 
-    long = stage(long.join(bitmaps.select("doc", "bits"), "doc"), "long-lists")
+    own = F.slice(F.array_sort(F.collect_set("list")), 1, OWN_LISTS)
+    about = bitmaps.select("doc", "bits").join(long.groupBy("doc").agg(own.alias("own")), "doc")
+    long = stage(long.join(about, "doc"), "long-lists")
     checked = candidates.select("a", "b")
     for round_ in range(1, ROUNDS + 1):
         answered = long.join(named.toDF("doc", "answer"), "doc", "left")
