@@ -11,24 +11,33 @@ from tallystar.operators.skew import salted_join
 BROADCAST_ROWS = 200_000
 
 
-def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def anti_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, skewed_left: bool = False
+) -> DataFrame:
     """Rows of ``left`` without a partner in ``right``.
 
     The right side is reduced to its distinct keys first, so a key with very many rows there shrinks inside the map
-    tasks. The join compares a hash besides the key. That gives both sides an exchange of their own, which adaptive
+    tasks, and the exchange of the distinct keys is the one that the join needs. For a left side that is known to be
+    skewed, ``skewed_left`` also compares a hash: both sides then have an exchange of their own, which adaptive
     execution needs to split a key, or a missing one, with very many rows on the left.
     """
-    return _match(left, right, left_key, right_key, "left_anti")
+    return _match(left, right, left_key, right_key, "left_anti", skewed_left)
 
 
-def semi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def semi_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, skewed_left: bool = False
+) -> DataFrame:
     """Rows of ``left`` with a partner in ``right``, joined in the same way."""
-    return _match(left, right, left_key, right_key, "left_semi")
+    return _match(left, right, left_key, right_key, "left_semi", skewed_left)
 
 
-def _match(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
+def _match(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, skewed_left: bool
+) -> DataFrame:
     present = right.select(F.col(right_key).alias("_present")).distinct()
-    same = (F.xxhash64(left[left_key]) == F.xxhash64("_present")) & (left[left_key] == F.col("_present"))
+    same = left[left_key] == F.col("_present")
+    if skewed_left:
+        same = (F.xxhash64(left[left_key]) == F.xxhash64("_present")) & same
     return left.join(present, same, how)
 
 
@@ -39,7 +48,7 @@ def anti_join_sql(left: DataFrame, right: DataFrame, left_key: str, right_key: s
         SELECT l.* FROM {{left}} l
         WHERE NOT EXISTS (
             SELECT 1 FROM (SELECT DISTINCT {right_key} FROM {{right}}) r
-            WHERE r.{right_key} = l.{left_key} AND xxhash64(r.{right_key}) = xxhash64(l.{left_key})
+            WHERE r.{right_key} = l.{left_key}
         )
         """,
         left=left,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 # The values that hold the first k ranks are broadcast, so k has a bound.
-MAX_RANK = 100_000
+BROADCAST_RANKS = 100_000
 
 
 def _order(by: str, descending: bool, nulls_first: bool) -> Column:
@@ -41,8 +41,6 @@ def ranked_with_ties(df: DataFrame, by: str, k: int, descending: bool = True, al
     ranked (no more can have a rank up to k), and those at most k values are joined back to the rows. The result
     is not sorted: a sort by rank would gather the ties again.
     """
-    if k > MAX_RANK:
-        raise ValueError(f"ranks up to {MAX_RANK} are supported, not {k}")
     head = df.groupBy(F.col(by).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
     head = head.orderBy(_order("_value", descending, nulls_first=False)).limit(k)
     ahead = Window.orderBy(_order("_value", descending, nulls_first=False)).rowsBetween(
@@ -50,7 +48,9 @@ def ranked_with_ties(df: DataFrame, by: str, k: int, descending: bool = True, al
     )
     rank = F.coalesce(F.sum("_rows").over(ahead), F.lit(0).cast("bigint")) + 1
     ranks = head.select("_value", rank.alias(alias)).where(F.col(alias) <= k)
-    return df.join(F.broadcast(ranks), df[by].eqNullSafe(ranks["_value"])).drop("_value")
+    if k <= BROADCAST_RANKS:
+        ranks = F.broadcast(ranks)
+    return df.join(ranks, df[by].eqNullSafe(ranks["_value"])).drop("_value")
 
 
 @dataclass(frozen=True)

@@ -92,20 +92,37 @@ def run_path(root: str, run_date: dt.date) -> str:
 
 
 def read_run_date(spark: SparkSession, root: str, run_date: dt.date) -> DataFrame:
-    """One run date of a Parquet dataset that is partitioned by ``run_date``: other dates are pruned."""
-    return spark.read.parquet(root).where(F.col("run_date") == F.lit(run_date))
+    """One run date of a Parquet dataset that is partitioned by ``run_date``; only its folder is listed."""
+    return spark.read.option("basePath", root).parquet(run_path(root, run_date))
 
 
 def read_feed_dates(
-    spark: SparkSession, root: str, schema: T.StructType, dates: Sequence[dt.date], column: str = "date"
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    dates: Sequence[dt.date],
+    column: str = "date",
+    allow_missing: bool = False,
 ) -> DataFrame:
-    """The feed of the given dates. Only their folders are listed; it is an error if none of them landed."""
-    days = ",".join(day.isoformat() for day in dates)
+    """The feed of the given dates. Only their folders are listed.
+
+    It is an error if one of them has not landed, unless ``allow_missing`` is set and another one has.
+    """
+    folders = {day: f"{root.rstrip('/')}/{column}={day.isoformat()}" for day in dates}
+    missing = [day.isoformat() for day, folder in folders.items() if not _exists(spark, folder)]
+    if missing and not (allow_missing and len(missing) < len(folders)):
+        raise FileNotFoundError(f"no feed in {root} for {', '.join(missing)}")
+    days = ",".join(day.isoformat() for day in folders if day.isoformat() not in missing)
     return read_json(spark, f"{root.rstrip('/')}/{column}={{{days}}}", schema, base_path=root)
 
 
 def read_feed_day_before(
     spark: SparkSession, root: str, schema: T.StructType, run_date: dt.date, column: str = "date"
 ) -> DataFrame:
-    """The feed of the day before the run."""
-    return read_json(spark, root, schema).where(F.col(column) == F.date_sub(F.lit(run_date), 1))
+    """The feed of the day before the run; an error if it has not landed."""
+    return read_feed_dates(spark, root, schema, [run_date - dt.timedelta(days=1)], column)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

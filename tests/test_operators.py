@@ -112,9 +112,10 @@ def test_ranked_with_ties_keeps_ties_out_of_the_window(spark):
     assert "TakeOrderedAndProject(limit=3" in below_window[1]
 
 
-def test_ranks_have_a_bound(spark):
-    with pytest.raises(ValueError, match="ranks up to"):
-        ranked_with_ties(spark.range(3), "id", 1_000_000)
+def test_ranks_beyond_the_broadcast_bound(spark):
+    df = spark.range(200_000).selectExpr("id", "id div 2 AS v")
+    assert ranked_with_ties(df, "v", 150_000).count() == 150_000
+    assert ranked_with_ties(df, "v", 1_000_000).agg({"rnk": "max"}).first()[0] == 199_999
 
 
 def test_best_per_arm(spark):
