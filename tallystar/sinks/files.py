@@ -6,8 +6,9 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tallystar.sources.files import CSV_DIALECT, run_path
+from tallystar.sources.files import CSV_DIALECT, NULL_MARK, is_text, run_path
 
 # No output file grows beyond this many rows: files with quoted line breaks are read by one task each.
 MAX_RECORDS = 1_000_000
@@ -16,10 +17,15 @@ MAX_RECORDS = 1_000_000
 def write_csv(df: DataFrame, path: str, max_records: int = MAX_RECORDS) -> None:
     """CSV with header in the dialect ``read_csv`` reads, replacing what is at ``path``.
 
-    Each task writes its own files of at most ``max_records`` rows; nothing is shuffled.
+    Each task writes its own files of at most ``max_records`` rows; nothing is shuffled. NULL is an empty field, or a
+    mark in a table of one column, where the line would be blank.
     """
-    writer = df.write.mode("overwrite").options(**CSV_DIALECT).option("maxRecordsPerFile", max_records)
-    writer.csv(path)
+    texts = {f.name: F.col(f"`{f.name}`") for f in df.schema if is_text(f)}
+    marked = {n: F.when(c.rlike(r"\A\x00+\z"), F.concat(c, F.lit(NULL_MARK))) for n, c in texts.items()}
+    df = df.withColumns({n: marked[n].otherwise(c) for n, c in texts.items()})
+    null = NULL_MARK if len(df.columns) == 1 else ""
+    writer = df.write.mode("overwrite").options(**CSV_DIALECT).option("nullValue", null)
+    writer.option("maxRecordsPerFile", max_records).csv(path)
 
 
 def write_run_date(df: DataFrame, root: str, run_date: dt.date, file_format: str) -> str:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,22 +22,33 @@ CSV_DIALECT = {
     "ignoreTrailingWhiteSpace": False,
 }
 CORRUPT = "_corrupt_record"
-# Stands for a quoted empty field while a file is parsed; the reader would otherwise make it NULL.
-_QUOTED_EMPTY = "␟<empty>␟"
+# Stands for an unquoted empty field while a file is parsed, so that a quoted one stays the empty string. Database
+# text cannot hold this character. ``write_csv`` adds one to values that consist of it alone, the readers take it away.
+NULL_MARK = "\0"
 
 
-def _csv_reader(spark: SparkSession, line_breaks: bool = True) -> DataFrameReader:
+def is_text(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.StringType) and field.name != CORRUPT
+
+
+def _csv_options(line_breaks: bool) -> dict[str, str | bool]:
     # Files with quoted line breaks cannot be split, so the sink bounds the size of each file.
-    return spark.read.options(**CSV_DIALECT).option("multiLine", line_breaks).option("emptyValue", _QUOTED_EMPTY)
+    return {**CSV_DIALECT, "multiLine": line_breaks, "nullValue": NULL_MARK}
+
 
+def _without_mark(df: DataFrame) -> DataFrame:
+    texts = {f.name: F.col(f"`{f.name}`") for f in df.schema if is_text(f)}
+    marked = {n: F.when(c.rlike(r"\A\x00{2,}\z"), F.expr(f"substring(`{n}`, 2)")) for n, c in texts.items()}
+    return df.withColumns({n: marked[n].otherwise(c) for n, c in texts.items()})
 
-def _restore_empty(df: DataFrame) -> DataFrame:
-    texts = {
-        f.name: F.when(F.col(f.name) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(f.name))
-        for f in df.schema
-        if isinstance(f.dataType, T.StringType) and f.name != CORRUPT
-    }
-    return df.withColumns(texts)
+
+def _unreadable(schema: T.StructType) -> Column:
+    """Whether a row that the parser found corrupt is: a quoted empty field is just a NULL in a column of no text."""
+    names = ", ".join(f"`{f.name}` STRING" for f in [*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {**_csv_options(True), "columnNameOfCorruptRecord": CORRUPT}
+    raw = F.from_csv(F.col(CORRUPT), names, {k: str(v).lower() if v in (True, False) else v for k, v in options.items()})
+    lost = [F.col(f"`{f.name}`").isNull() & (raw[f.name] != "") for f in schema if not is_text(f)]
+    return reduce(Column.__or__, [F.coalesce(x, F.lit(False)) for x in lost], raw[CORRUPT].isNotNull())
 
 
 def read_csv(
@@ -50,29 +62,46 @@ def read_csv(
 
     Columns are bound by position, so a header in another order is an error rather than silent NULLs. A value
     that does not fit its type becomes NULL; ``keep_corrupt`` adds the raw row as ``_corrupt_record``. Files
-    without a text column hold no quoted line breaks, so they are split over tasks.
+    of several columns without a text hold no quoted line breaks, so they are split over tasks. Blank lines are
+    skipped; ``write_csv`` therefore never writes one.
     """
-    has_text = any(isinstance(f.dataType, T.StringType) for f in schema)
-    if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = _csv_reader(spark, has_text).schema(schema).option("enforceSchema", False)
+    line_breaks = len(schema) == 1 or any(is_text(f) for f in schema)
+    declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if keep_corrupt else schema
+    reader = spark.read.options(**_csv_options(line_breaks)).schema(declared).option("enforceSchema", False)
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if base_path is not None:
         reader = reader.option("basePath", base_path)
-    return _restore_empty(reader.csv(path))
+    df = reader.csv(path)
+    if keep_corrupt:
+        df = df.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNotNull() & _unreadable(schema), F.col(CORRUPT)))
+    return _without_mark(df)
 
 
-def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with types inferred from all rows, which costs one more pass over the files."""
-    return _restore_empty(_csv_reader(spark).option("inferSchema", True).csv(path))
+def read_csv_inferred(spark: SparkSession, path: str | list[str], line_breaks: bool = True) -> DataFrame:
+    """CSV with types inferred from all rows, which costs one more pass over the files.
+
+    Files of several columns that are known to hold no quoted line breaks are split over tasks without ``line_breaks``.
+    """
+    return _without_mark(spark.read.options(**_csv_options(line_breaks)).option("inferSchema", True).csv(path))
 
 
 def read_json(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, base_path: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    base_path: str | None = None,
+    whole_files: bool = False,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """JSON with a declared schema: one object per line, or a line that holds an array of objects."""
-    reader = spark.read.schema(schema)
+    """JSON with a declared schema: one object per line, or a line that holds an array of objects.
+
+    ``whole_files`` reads each file as one document that may go over several lines. What does not parse becomes
+    NULL; ``keep_corrupt`` adds its text as ``_corrupt_record``.
+    """
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("multiLine", whole_files).option("columnNameOfCorruptRecord", CORRUPT)
     if base_path is not None:
         reader = reader.option("basePath", base_path)
     return reader.json(path)

@@ -30,19 +30,42 @@ DAY = dt.date(2021, 1, 2)
 
 texts = st.one_of(
     st.none(),
-    st.sampled_from(["", " ", '"', '""', "a,b", 'a "q" b', "x\ny", "x\r\ny", "\n", "\r", "\\", '\\"', "'", " pad ", "null", "#c"]),
+    st.sampled_from(["", " ", '"', '""', "a,b", 'a "q" b', "x\ny", "x\r\ny", "\n", "\r", "\\", '\\"', "'", " pad ", "null", "#c", "\0", "\0\0", "\0a"]),
     st.text(st.characters(exclude_categories=["Cs", "Cc"]), max_size=12),
 )
 
 
 @quick
-@given(values=st.lists(st.tuples(texts, texts), min_size=1, max_size=30))
-def test_csv_keeps_any_text(spark, values):
-    rows = [(i, a, b) for i, (a, b) in enumerate(values)]
-    df = spark.createDataFrame(rows, "id int, a string, b string")
+@given(values=st.lists(st.tuples(texts, texts), min_size=1, max_size=30), columns=st.integers(1, 3))
+def test_csv_keeps_any_text(spark, values, columns):
+    rows = [(a, b, i)[:columns] for i, (a, b) in enumerate(values)]
+    df = spark.createDataFrame(rows, ", ".join(("a string", "b string", "id int")[:columns]))
     path = f"{fresh_dir(spark, 'csv')}/t"
     write_csv(df, path)
     assert rows_of(read_csv(spark, path, df.schema)) == rows_of(df)
+    assert read_csv_inferred(spark, path).count() == len(rows)
+
+
+def test_csv_of_one_number(spark):
+    df = spark.createDataFrame([(None,), (1,), (None,)], "n int")
+    path = f"{fresh_dir(spark, 'csv')}/t"
+    write_csv(df, path)
+    assert rows_of(read_csv(spark, path, df.schema, keep_corrupt=True).select("n", "_corrupt_record")) == rows_of(
+        df.selectExpr("n", "CAST(NULL AS STRING)")
+    )
+    assert rows_of(read_csv_inferred(spark, path)) == rows_of(df)
+
+
+def test_csv_quoted_empty_number_is_null(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('n,d,s\n"",2021-01-02,""\n1,"",\n"x","",y\n')
+    schema = T.StructType().add("n", "integer").add("d", "date").add("s", "string")
+    rows = rows_of(read_csv(spark, str(tmp_path), schema, keep_corrupt=True))
+    assert rows == sorted([(None, DAY, "", None), (1, None, None, None), (None, None, "y", '"x","",y')], key=repr)
+    (tmp_path / "inferred").mkdir()
+    (tmp_path / "inferred" / "t.csv").write_text('n,s\n"",a\n1,""\n,b\n')
+    inferred = read_csv_inferred(spark, str(tmp_path / "inferred"))
+    assert [f.dataType.simpleString() for f in inferred.schema] == ["int", "string"]
+    assert rows_of(inferred) == sorted([(None, "a"), (1, ""), (None, "b")], key=repr)
 
 
 def test_csv_as_the_database_writes_it(spark, tmp_path):
@@ -87,6 +110,13 @@ def test_json_array_document(spark, tmp_path):
     assert rows_of(read_json_inferred(spark, str(tmp_path))) == [("2021-01-02", 1), ("2021-01-02", 2)]
 
 
+def test_json_over_several_lines(spark, tmp_path):
+    (tmp_path / "feed.json").write_text(json.dumps([{"product_id": 1, "date": "2021-01-02"}], indent=1))
+    assert rows_of(read_json(spark, str(tmp_path), FEED, whole_files=True)) == [(1, DAY)]
+    lines = read_json(spark, str(tmp_path), FEED, keep_corrupt=True)
+    assert lines.where("product_id is null and _corrupt_record is null").isEmpty() and not lines.isEmpty()
+
+
 def test_json_without_the_fields_is_a_row_of_nulls(spark, tmp_path):
     (tmp_path / "out_of_stock.json").write_text(json.dumps({"message": "no data"}))
     assert rows_of(read_json(spark, str(tmp_path), FEED)) == [(None, None)]
