@@ -54,13 +54,14 @@ def roll_up(measures: DataFrame, links: Sequence[Link], values: Sequence[str]) -
 def count_pairs(pairs: DataFrame, key: str, member: str, alias: str, within: DataFrame | None = None) -> DataFrame:
     """Distinct members per key, with members restricted to those found in ``within``.
 
-    Both sides of the match are made distinct first, so a member with very many rows shrinks inside the map tasks
-    before it meets its own kind in one. The match is a semi-join, which cannot multiply rows.
+    The match is a semi-join, which cannot multiply rows. It comes first: its exchange by member has placed the pairs
+    for the distinct as well, so they travel once before they are counted. A member with very many rows is split by
+    adaptive execution.
     """
-    unique = pairs.select(key, member).where(F.col(member).isNotNull()).distinct()
+    matched = pairs.select(key, member).where(F.col(member).isNotNull())
     if within is not None:
-        unique = semi_join(unique, within, member, member)
-    return unique.groupBy(key).agg(F.count(F.lit(1)).alias(alias))
+        matched = semi_join(matched, within, member, member)
+    return matched.distinct().groupBy(key).agg(F.count(F.lit(1)).alias(alias))
 
 
 def _collapsed(groups: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -75,9 +76,12 @@ def _attach(
     distinct_counts: Sequence[str],
     counts: Sequence[str],
     sums: Sequence[str],
+    unique_groups: bool,
     how: str,
 ) -> DataFrame:
-    joined = _collapsed(groups, [key, *labels]).join(measures, key, how)
+    rows = groups.select(key, *labels)
+    rows = rows.withColumn(_COPIES, F.lit(1).cast("bigint")) if unique_groups else _collapsed(rows, [key, *labels])
+    joined = rows.join(measures, key, how)
     copies = F.col(_COPIES)
     columns = [F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in distinct_counts]
     columns += [(F.coalesce(F.col(c), F.lit(0).cast("bigint")) * copies).alias(c) for c in counts]
@@ -93,9 +97,13 @@ def keep_groups(
     distinct_counts: Sequence[str] = (),
     counts: Sequence[str] = (),
     sums: Sequence[str] = (),
+    unique_groups: bool = False,
 ) -> DataFrame:
-    """Left outer join of groups to their measures: an empty group counts 0 and sums to NULL."""
-    return _attach(groups, measures, key, labels, distinct_counts, counts, sums, "left")
+    """Left outer join of groups to their measures: an empty group counts 0 and sums to NULL.
+
+    ``unique_groups`` says that ``key`` identifies a row of ``groups``, which then need not be collapsed.
+    """
+    return _attach(groups, measures, key, labels, distinct_counts, counts, sums, unique_groups, "left")
 
 
 def match_groups(
@@ -106,6 +114,7 @@ def match_groups(
     distinct_counts: Sequence[str] = (),
     counts: Sequence[str] = (),
     sums: Sequence[str] = (),
+    unique_groups: bool = False,
 ) -> DataFrame:
-    """Inner join of groups to their measures: empty groups are lost."""
-    return _attach(groups, measures, key, labels, distinct_counts, counts, sums, "inner")
+    """Inner join of groups to their measures: empty groups are lost. ``unique_groups`` as in ``keep_groups``."""
+    return _attach(groups, measures, key, labels, distinct_counts, counts, sums, unique_groups, "inner")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystar.functions import hour_component, iso_date, total_hours
+from tallystar.functions import date_key, hour_component, iso_date, total_hours
 from tallystar.operators import (
     Arm,
     Link,
@@ -34,8 +34,19 @@ from tallystar.operators import (
 )
 from tallystar.operators.ranking import sort_by
 from tallystar.operators.skew import SALT
-from tallystar.plans.daily import Layout, land_database, refine_feed, refine_table, run_daily
+from tallystar.plans import rental
+from tallystar.plans.daily import (
+    Layout,
+    land_database,
+    land_feed,
+    land_table,
+    refine,
+    refine_feed,
+    refine_table,
+    run_daily,
+)
 from tallystar.plans.star import date_dimension, extracted_dimension, keyed_fact
+from tallystar.schemas import SHOP_TABLES
 from tallystar.scratch import fresh_dir, stage
 from tallystar.session import configure, is_local
 from tallystar.sinks import (
@@ -51,6 +62,7 @@ from tallystar.sinks import (
 )
 from tallystar.sources import (
     Database,
+    Ranges,
     list_tables,
     read_csv,
     read_csv_inferred,
@@ -62,6 +74,7 @@ from tallystar.sources import (
     read_run_date,
     read_table,
 )
+from tallystar.sources.files import run_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -89,7 +102,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def distinct_count_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, supplier, lineitem = (table(spark, sf_dir, n) for n in ("nation", "supplier", "lineitem"))
     rich = supplier.where("s_acctbal > 8000").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    sold = lineitem.select("l_suppkey", "l_partkey").join(rich, "l_suppkey")
+    sold = distinct_rows(lineitem, "l_suppkey", "l_partkey").join(rich, "l_suppkey")
     counts = count_pairs(sold, "s_nationkey", "l_partkey", "part_count")
     counts = counts.withColumnRenamed("s_nationkey", "n_nationkey")
     kept = keep_groups(nation, counts, "n_nationkey", ["n_name"], distinct_counts=["part_count"])
@@ -117,7 +130,7 @@ def _orders_per_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topn_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = _orders_per_supplier(spark, sf_dir)
     suppliers = keep_groups(
-        table(spark, sf_dir, "supplier"), counts, "s_suppkey", ["s_name"], distinct_counts=["order_count"]
+        table(spark, sf_dir, "supplier"), counts, "s_suppkey", ["s_name"], ["order_count"], unique_groups=True
     )
     return top_k(suppliers, "order_count", 10, ["s_suppkey"])
 
@@ -126,7 +139,7 @@ def topn_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topn_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = _orders_per_supplier(spark, sf_dir)
     suppliers = match_groups(
-        table(spark, sf_dir, "supplier"), counts, "s_suppkey", ["s_name"], distinct_counts=["order_count"]
+        table(spark, sf_dir, "supplier"), counts, "s_suppkey", ["s_name"], ["order_count"], unique_groups=True
     )
     return top_k(suppliers, "order_count", 10, ["s_suppkey"])
 
@@ -221,6 +234,13 @@ def rank_ties_asc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("o_custkey", "cnt", "rnk")
 
 
+@register("rank_ties_large")
+def rank_ties_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More ranks than are broadcast."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    return ranked_with_ties(lines, "l_extendedprice", 150_000)
+
+
 def _best_regions(
     spark: SparkSession, sf_dir: str, segment: Callable[[Column], Column], priority: Callable[[Column], Column]
 ) -> DataFrame:
@@ -262,6 +282,32 @@ def union_all_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _best_regions(spark, sf_dir, lambda s: s.like("%U%"), lambda p: p.like("%-%"))
 
 
+@register("longest_rented")
+def longest_rented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain of seven tables: nation as category and as city, part as its films, order lines as copies of films,
+    orders as rentals, customers as customers and as their addresses."""
+    customer = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
+    tables = {
+        "category": nation.selectExpr("n_nationkey AS category_id", "n_name AS name"),
+        "film_category": table(spark, sf_dir, "part").selectExpr("p_partkey AS film_id", "p_size AS category_id"),
+        "inventory": table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS inventory_id", "l_partkey AS film_id"),
+        "rental": table(spark, sf_dir, "orders").selectExpr(
+            "o_orderkey AS inventory_id",
+            "o_custkey AS customer_id",
+            "o_orderdate AS rental_date",
+            "timestampadd(HOUR, CAST(o_orderkey % 200 AS INT), o_orderdate) AS return_date",
+        ),
+        "customer": customer.selectExpr("c_custkey AS customer_id", "c_custkey AS address_id"),
+        "address": customer.selectExpr("c_custkey AS address_id", "c_nationkey AS city_id"),
+        "city": nation.selectExpr(
+            "n_nationkey AS city_id",
+            "if(n_nationkey % 2 = 0, concat('a', n_name), replace(n_name, '_', '-')) AS city",
+        ),
+    }
+    return rental.longest_rented_category_hours(tables)
+
+
 @register("like_vs_ilike")
 def like_vs_ilike(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment = F.col("c_mktsegment")
@@ -362,6 +408,13 @@ def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, documents.schema)
 
 
+@register("bronze_csv_single_column")
+def bronze_csv_single_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = table(spark, sf_dir, "lineitem").selectExpr("nullif(l_returnflag, 'A') AS flag")
+    path = write_run_date(flags, fresh_dir(spark, "flags"), RUN_DATE, "csv")
+    return read_csv(spark, path, flags.schema)
+
+
 @register("bronze_csv_inferred")
 def bronze_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
@@ -487,7 +540,7 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _database(spark)
     orders = table(spark, sf_dir, "orders")
     append_table(orders, database, "orders", "o_orderstatus VARCHAR(1), o_orderpriority VARCHAR(30)")
-    return read_table(spark, database, "orders", partition_column="o_orderkey", single_task_rows=0)
+    return read_table(spark, database, "orders", Ranges("o_orderkey", 16))
 
 
 @register("jdbc_list_tables")
@@ -546,8 +599,27 @@ def dwh_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    name, buckets = f"shop_{uuid.uuid4().hex}", bucket_count(table(spark, sf_dir, "lineitem").count())
-    return Warehouse(spark, name, fresh_dir(spark, "warehouse"), buckets, id_type="BIGINT")
+    """Facts are distributed within each date, dimensions are not."""
+    days = table(spark, sf_dir, "lineitem").groupBy("l_shipdate").count()
+    largest = days.agg(F.max("count")).first()[0] or 0
+    location = fresh_dir(spark, "warehouse")
+    return Warehouse(
+        spark, f"shop_{uuid.uuid4().hex}", location, {"orders_fact": bucket_count(largest)}, id_type="BIGINT"
+    )
+
+
+def _kept(warehouse: Warehouse, df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, so that the database it comes from can be dropped."""
+    rows = stage(df, "warehouse-rows")
+    warehouse.drop()
+    return rows
+
+
+def _checksum(warehouse: Warehouse, name: str) -> Column:
+    """A sum over all columns of all rows."""
+    columns = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in warehouse.tables[name].column_names]
+    head = F.substring(F.md5(F.concat_ws("|", *columns)), 1, 8)
+    return F.sum(F.conv(head, 16, 10).cast("bigint")).alias("checksum")
 
 
 @register("dwh_ddl")
@@ -565,10 +637,11 @@ def dwh_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(name).alias("table_name"),
             F.lit(warehouse.describe(name)).alias("columns"),
             F.count(F.lit(1)).alias("n_rows"),
+            _checksum(warehouse, name),
         )
         for name in warehouse.tables
     ]
-    return union_all(*reports)
+    return _kept(warehouse, union_all(*reports))
 
 
 @register("dwh_append_new_table")
@@ -578,7 +651,33 @@ def dwh_append_new_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.append("clients_dim", _earlier_clients(spark, sf_dir))
     for _ in range(2):
         warehouse.append_new("clients_dim", clients)
-    return warehouse.read("clients_dim")
+    return _kept(warehouse, warehouse.read("clients_dim"))
+
+
+@register("dwh_dimension_unique")
+def dwh_dimension_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many rows for each identifier in a first load, and other attributes in a later one."""
+    warehouse = _warehouse(spark, sf_dir)
+    warehouse.create()
+    clients = table(spark, sf_dir, "customer").selectExpr(
+        "c_nationkey AS client_id", "c_name AS fullname", "c_custkey % 7 AS location_area_id"
+    )
+    warehouse.append_new("clients_dim", clients)
+    later = clients.withColumn("fullname", F.lit("zzz"))
+    warehouse.append_new("clients_dim", later.union(later.withColumn("client_id", F.col("client_id") + 1000)))
+    return _kept(warehouse, warehouse.read("clients_dim"))
+
+
+@register("dwh_replace_date")
+def dwh_replace_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load with wrong quantities, then the dates from 1998 on corrected twice."""
+    warehouse = _warehouse(spark, sf_dir)
+    warehouse.create()
+    orders = _shop(spark, sf_dir, "orders").withColumn("time_id", date_key("order_date"))
+    warehouse.replace_dates("orders_fact", orders.withColumn("quantity", F.col("quantity") + 1))
+    for _ in range(2):
+        warehouse.replace_dates("orders_fact", orders.where("time_id >= 19980101"))
+    return _kept(warehouse, warehouse.read("orders_fact"))
 
 
 @register("dwh_bucketed_join")
@@ -588,7 +687,7 @@ def dwh_bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity", "l_extendedprice"
     )
-    buckets = bucket_count(lines.count())
+    buckets = max(bucket_count(lines.count()), spark.sparkContext.defaultParallelism)
     # Finer salts than buckets, so that the parts of a hot order spread evenly over the buckets.
     pair, keys = salt_pair(lines, orders, "o_orderkey", parts=8 * buckets), ["o_orderkey", SALT]
     root, name = fresh_dir(spark, "bucketed"), uuid.uuid4().hex
@@ -640,8 +739,34 @@ def daily_load_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         warehouse.read(name).agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(declared.column_names[0]).alias("key_sum"),
+            _checksum(warehouse, name),
         )
-        for name, declared in warehouse.tables.items()
+        for name in warehouse.tables
+    ]
+    return _kept(warehouse, union_all(*reports))
+
+
+@register("silver_rejects")
+def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land rows without a readable identifier or date; report what was rejected, stored apart and kept."""
+    root = fresh_dir(spark, "rejects")
+    layout = Layout(f"{root}/bronze", f"{root}/silver", id_type="BIGINT")
+    for name in SHOP_TABLES:
+        df = _shop(spark, sf_dir, name)
+        if name == "aisles":
+            df = df.withColumn("aisle_id", F.expr("if(aisle_id % 5 = 0, 'BAD', string(aisle_id))"))
+        if name == "orders":
+            df = df.withColumn("order_id", F.expr("if(store_id = 1, NULL, order_id)"))
+            df = df.withColumn("order_date", F.expr("if(store_id = 2, '2021-13-45', string(order_date))"))
+        land_table(df, layout, name, RUN_DATE)
+    feed = _feed(spark, sf_dir).selectExpr("product_id", "if(event_id % 10 = 0, NULL, date) AS date")
+    land_feed(feed, layout, RUN_DATE)
+    rejected = refine(spark, layout, RUN_DATE)
+    reports = [
+        spark.read.parquet(run_path(layout.rejected(name), RUN_DATE))
+        .agg(F.count(F.lit(1)).alias("n_stored"))
+        .crossJoin(spark.read.parquet(run_path(layout.silver(name), RUN_DATE)).agg(F.count(F.lit(1)).alias("n_kept")))
+        .select(F.lit(name).alias("input"), F.lit(n).cast("bigint").alias("n_rejected"), "n_stored", "n_kept")
+        for name, n in rejected.items()
     ]
     return union_all(*reports)

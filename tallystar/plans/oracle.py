@@ -66,6 +66,86 @@ _SHOP_ORDERS = """
     FROM lineitem
 """
 
+_COLUMNS = {
+    "clients_dim": "client_id bigint, fullname varchar(30), location_area_id bigint",
+    "products_dim": "product_id bigint, product_name varchar(130), aisle_id bigint, department_id bigint",
+    "aisles_dim": "aisle_id bigint, aisle varchar(30)",
+    "departments_dim": "department_id bigint, department varchar(30)",
+    "dates_dim": (
+        "time_id bigint, action_date date, action_week int, action_month int, action_year int, action_weekday int"
+    ),
+    "location_areas_dim": "location_area_id bigint",
+    "orders_fact": (
+        "order_id bigint, product_id bigint, client_id bigint, store_id bigint, quantity int, time_id bigint"
+    ),
+    "out_of_stock_fact": "time_id bigint, product_id bigint",
+}
+
+
+def _report(name: str, rows: str | None, columns: bool = False) -> str:
+    """Rows of a warehouse table and a checksum over all of its columns; no rows: an empty table."""
+    names = [c.split()[0] for c in _COLUMNS[name].split(", ")]
+    source = rows or f"SELECT {', '.join(f'NULL AS {n}' for n in names)} WHERE false"
+    text = ", ".join(f"coalesce(CAST({n} AS VARCHAR), '')" for n in names)
+    declared = f"'{_COLUMNS[name]}' AS columns, " if columns else ""
+    return f"""
+        SELECT '{name}' AS table_name, {declared}count(*) AS n_rows,
+            CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 8) AS BIGINT)) AS BIGINT) AS checksum
+        FROM ({source}) t
+    """
+
+
+_AREAS = "SELECT DISTINCT c_nationkey AS location_area_id FROM customer"
+_ORDERS_FACT = _SHOP_ORDERS.replace("l_orderkey,", "l_orderkey AS order_id,").replace(
+    "l_partkey, l_suppkey, l_linenumber,", "l_partkey AS product_id, l_suppkey AS client_id, l_linenumber AS store_id,"
+)
+_LOADED = {"clients_dim": _CLIENTS, "dates_dim": _DATES, "location_areas_dim": _AREAS, "orders_fact": _ORDERS_FACT}
+_JOB = {
+    "clients_dim": _CLIENTS,
+    "products_dim": """
+        SELECT p_partkey AS product_id, p_name AS product_name, p_size AS aisle_id,
+            CAST(replace(p_brand, 'Brand#', '') AS INT) AS department_id
+        FROM part
+    """,
+    "aisles_dim": "SELECT n_nationkey AS aisle_id, n_name AS aisle FROM nation",
+    "departments_dim": "SELECT r_regionkey AS department_id, r_name AS department FROM region",
+    "dates_dim": _DATES.replace("CAST(o_orderdate AS DATE) AS d FROM orders", "CAST(ts AS DATE) AS d FROM events"),
+    "location_areas_dim": _AREAS,
+    "orders_fact": _ORDERS_FACT,
+    "out_of_stock_fact": """
+        SELECT DISTINCT CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS time_id, user_id AS product_id FROM events
+    """,
+}
+
+_LONGEST = """
+    SELECT category_id, hours FROM (
+        SELECT c.n_nationkey AS category_id, CAST(sum(o.o_orderkey % 200) AS DOUBLE) AS hours
+        FROM nation c
+        JOIN part p ON p.p_size = c.n_nationkey
+        JOIN lineitem l ON l.l_partkey = p.p_partkey
+        JOIN orders o ON o.o_orderkey = l.l_orderkey
+        JOIN customer u ON u.c_custkey = o.o_custkey
+        JOIN customer a ON a.c_custkey = u.c_custkey
+        JOIN (
+            SELECT n_nationkey,
+                CASE WHEN n_nationkey % 2 = 0 THEN 'a' || n_name ELSE replace(n_name, '_', '-') END AS city
+            FROM nation
+        ) t ON t.n_nationkey = a.c_nationkey
+        WHERE t.city LIKE '{pattern}'
+        GROUP BY c.n_nationkey
+        ORDER BY hours DESC, c.n_nationkey LIMIT 1
+    ) x
+"""
+
+
+def _rejects(name: str, table: str, bad: str, columns: str) -> str:
+    return f"""
+        SELECT '{name}' AS input, count(*) FILTER (WHERE {bad}) AS n_rejected, count(*) FILTER (WHERE {bad}) AS n_stored,
+            (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM {table} WHERE NOT ({bad})) d) AS n_kept
+        FROM {table}
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "distinct_count_outer": """
         SELECT n.n_nationkey, n.n_name, count(DISTINCT l.l_partkey) AS part_count
@@ -184,45 +264,46 @@ ORACLE_SQL: dict[str, str] = {
         SELECT c_custkey AS client_id, c_name AS fullname, CAST(c_nationkey AS BIGINT) AS location_area_id
         FROM customer
     """,
-    "dwh_ddl": f"""
-        SELECT 'clients_dim' AS table_name,
-            'client_id bigint, fullname varchar(30), location_area_id bigint' AS columns, count(*) AS n_rows
-        FROM customer
-        UNION ALL SELECT 'products_dim',
-            'product_id bigint, product_name varchar(130), aisle_id bigint, department_id bigint', 0
-        UNION ALL SELECT 'aisles_dim', 'aisle_id bigint, aisle varchar(30)', 0
-        UNION ALL SELECT 'departments_dim', 'department_id bigint, department varchar(30)', 0
-        UNION ALL SELECT 'dates_dim',
-            'time_id bigint, action_date date, action_week int, action_month int, action_year int, '
-            || 'action_weekday int', count(*)
-        FROM ({_DATES}) t
-        UNION ALL SELECT 'location_areas_dim', 'location_area_id bigint', count(DISTINCT c_nationkey) FROM customer
-        UNION ALL SELECT 'orders_fact',
-            'order_id bigint, product_id bigint, client_id bigint, store_id bigint, quantity int, time_id bigint',
-            count(*)
-        FROM ({_SHOP_ORDERS}) t
-        UNION ALL SELECT 'out_of_stock_fact', 'time_id bigint, product_id bigint', 0
+    "dwh_ddl": " UNION ALL ".join(_report(name, _LOADED.get(name), columns=True) for name in _COLUMNS),
+    "dwh_dimension_unique": """
+        SELECT CAST(c_nationkey AS BIGINT) AS client_id, max(c_name) AS fullname,
+            arg_max(c_custkey % 7, c_name) AS location_area_id
+        FROM customer GROUP BY c_nationkey
+        UNION ALL SELECT CAST(c_nationkey + 1000 AS BIGINT), 'zzz', max(c_custkey % 7) FROM customer GROUP BY c_nationkey
+    """,
+    "dwh_replace_date": """
+        SELECT DISTINCT l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS client_id,
+            CAST(l_linenumber AS BIGINT) AS store_id,
+            CAST(CAST(l_quantity AS INT) + CASE WHEN year(l_shipdate) < 1998 THEN 1 ELSE 0 END AS INT) AS quantity,
+            CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS time_id
+        FROM lineitem
     """,
     "dwh_bucketed_join": """
         SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, l.l_partkey, l.l_quantity, l.l_extendedprice
         FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
     """,
-    "daily_load_end_to_end": f"""
-        SELECT 'clients_dim' AS table_name, count(*) AS n_rows, CAST(sum(c_custkey) AS BIGINT) AS key_sum
-        FROM (SELECT DISTINCT c_custkey, c_name, c_nationkey FROM customer) t
-        UNION ALL SELECT 'products_dim', count(*), CAST(sum(p_partkey) AS BIGINT)
-        FROM (SELECT DISTINCT p_partkey, p_name, p_size, p_brand FROM part) t
-        UNION ALL SELECT 'aisles_dim', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation
-        UNION ALL SELECT 'departments_dim', count(*), CAST(sum(r_regionkey) AS BIGINT) FROM region
-        UNION ALL SELECT 'dates_dim', count(*), CAST(sum(time_id) AS BIGINT) FROM (
-            SELECT CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS time_id FROM lineitem
-            UNION SELECT CAST(strftime(ts, '%Y%m%d') AS BIGINT) FROM events
-        ) t
-        UNION ALL SELECT 'location_areas_dim', count(DISTINCT c_nationkey), CAST(sum(DISTINCT c_nationkey) AS BIGINT)
-        FROM customer
-        UNION ALL SELECT 'orders_fact', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM ({_SHOP_ORDERS}) t
-        UNION ALL SELECT 'out_of_stock_fact', count(*), CAST(sum(time_id) AS BIGINT) FROM (
-            SELECT DISTINCT user_id, CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS time_id FROM events
-        ) t
+    "daily_load_end_to_end": " UNION ALL ".join(_report(name, rows) for name, rows in _JOB.items()),
+    "silver_rejects": " UNION ALL ".join(
+        _rejects(*parts)
+        for parts in (
+            ("products", "part", "p_partkey IS NULL", "p_partkey, p_name, p_size, p_brand"),
+            ("aisles", "nation", "n_nationkey % 5 = 0", "n_nationkey, n_name"),
+            ("departments", "region", "r_regionkey IS NULL", "r_regionkey, r_name"),
+            ("clients", "customer", "c_custkey IS NULL", "c_custkey, c_name, c_nationkey"),
+            (
+                "orders",
+                "lineitem",
+                "l_linenumber IN (1, 2)",
+                "l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INT), CAST(l_shipdate AS DATE)",
+            ),
+            ("out_of_stock", "events", "event_id % 10 = 0", "user_id, CAST(ts AS DATE)"),
+        )
+    ),
+    "rank_ties_large": """
+        SELECT * FROM (
+            SELECT l_orderkey, l_partkey, l_extendedprice, rank() OVER (ORDER BY l_extendedprice DESC) AS rnk FROM lineitem
+        ) t WHERE rnk <= 150000
     """,
+    "longest_rented": _LONGEST.format(pattern="a%") + " UNION ALL " + _LONGEST.format(pattern="%-%"),
+    "bronze_csv_single_column": "SELECT nullif(l_returnflag, 'A') AS flag FROM lineitem",
 }

@@ -41,6 +41,9 @@ _WAREHOUSE = {
     "out_of_stock_fact": ("time_id BIGINT, product_id {id}", ("product_id", "time_id")),
 }
 
+# The column that facts are partitioned by.
+FACT_DATE = "time_id"
+
 SHOP_TABLES = ("aisles", "clients", "departments", "orders", "products")
 FEED = "out_of_stock"
 
@@ -75,6 +78,11 @@ class WarehouseTable:
     def is_fact(self) -> bool:
         return self.name.endswith("_fact")
 
+    @property
+    def bucket_keys(self) -> tuple[str, ...]:
+        """The declared distribution; a fact is divided by date already."""
+        return tuple(k for k in self.distribution if not (self.is_fact and k == FACT_DATE))
+
     @property
     def merge_keys(self) -> list[str]:
         """What tells two rows apart: the identifier of a dimension, the whole row of a fact."""

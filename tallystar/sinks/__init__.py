@@ -4,7 +4,7 @@ from tallystar.sinks.files import (
     write_parquet,
     write_run_date,
 )
-from tallystar.sinks.jdbc import append_new_rows, append_table
+from tallystar.sinks.jdbc import append_new_rows, append_table, replace_dates
 from tallystar.sinks.warehouse import Warehouse, bucket_count, store_bucketed
 
 __all__ = [
@@ -12,6 +12,7 @@ __all__ = [
     "append_new_rows",
     "append_table",
     "bucket_count",
+    "replace_dates",
     "store_bucketed",
     "write_csv",
     "write_dated",

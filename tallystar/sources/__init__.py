@@ -8,10 +8,11 @@ from tallystar.sources.files import (
     read_parquet,
     read_run_date,
 )
-from tallystar.sources.jdbc import Database, list_tables, read_table, read_tables
+from tallystar.sources.jdbc import Database, Ranges, list_tables, read_table, read_tables
 
 __all__ = [
     "Database",
+    "Ranges",
     "list_tables",
     "read_csv",
     "read_csv_inferred",

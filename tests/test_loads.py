@@ -11,8 +11,8 @@ from tallystar.plans.bindings import _database
 from tallystar.plans.daily import Layout, land_database, load_warehouse, refine_table, run_daily
 from tallystar.schemas import LOAD_ORDER, bronze_schema, warehouse_tables
 from tallystar.scratch import fresh_dir
-from tallystar.sinks import Warehouse, append_new_rows, append_table, bucket_count, store_bucketed
-from tallystar.sources import list_tables, read_table, read_tables
+from tallystar.sinks import Warehouse, append_new_rows, append_table, bucket_count, replace_dates, store_bucketed
+from tallystar.sources import Ranges, list_tables, read_table, read_tables
 from tests.test_operators import plan_of, rows_of
 
 DAY = dt.date(2021, 1, 4)
@@ -21,7 +21,7 @@ CLIENTS = "client_id int, fullname string, location_area_id int"
 
 @pytest.fixture
 def warehouse(spark):
-    created = Warehouse(spark, f"dwh_{uuid.uuid4().hex}", fresh_dir(spark, "warehouse"), buckets=4)
+    created = Warehouse(spark, f"dwh_{uuid.uuid4().hex}", fresh_dir(spark, "warehouse"), buckets={"out_of_stock_fact": 4})
     created.create()
     return created
 
@@ -32,7 +32,7 @@ def test_tables_are_created_once_with_declared_types(spark, warehouse):
     assert listed == set(LOAD_ORDER) == set(warehouse_tables())
     assert warehouse.describe("clients_dim") == "client_id int, fullname varchar(30), location_area_id int"
     ddl = spark.sql(f"SHOW CREATE TABLE {warehouse.name_of('out_of_stock_fact')}").first()[0]
-    assert "CLUSTERED BY (product_id, time_id)" in ddl and "gzip" in ddl
+    assert "CLUSTERED BY (product_id)" in ddl and "PARTITIONED BY (time_id)" in ddl and "gzip" in ddl
 
 
 def test_over_long_text_is_an_error(spark, warehouse):
@@ -61,6 +61,48 @@ def test_append_new_facts_compares_whole_rows_of_the_same_dates(spark, warehouse
     assert rows_of(warehouse.read("orders_fact")) == sorted([*first, later[1]], key=repr)
 
 
+ORDERS = "order_id int, product_id int, client_id int, store_id int, quantity int, time_id bigint"
+
+
+def test_replacing_dates(spark, warehouse):
+    first = [(1, 1, 1, 1, 5, 20210102), (2, 1, 1, 1, 5, 20210102), (3, 1, 1, 1, 5, 20210103), (4, 1, 1, 1, 5, None)]
+    warehouse.replace_dates("orders_fact", spark.createDataFrame(first, ORDERS))
+    corrected = [(1, 1, 1, 1, 6, 20210102), (1, 1, 1, 1, 6, 20210102)]
+    for _ in range(2):
+        warehouse.replace_dates("orders_fact", spark.createDataFrame(corrected, ORDERS))
+    assert rows_of(warehouse.read("orders_fact")) == sorted([corrected[0], *first[2:]], key=repr)
+    one = warehouse.read("orders_fact").where("time_id = 20210102")
+    assert "PushedFilters: []" in plan_of(one) and one.inputFiles()
+    assert all("/time_id=20210102/" in file for file in one.inputFiles())
+    stock = spark.range(1000).selectExpr("CAST(20210102 + id % 2 AS BIGINT) AS time_id", "CAST(id AS INT) AS product_id")
+    warehouse.replace_dates("out_of_stock_fact", stock)
+    assert warehouse.read("out_of_stock_fact").count() == 1000
+    assert len(warehouse.read("out_of_stock_fact").inputFiles()) == 8
+
+
+def test_small_dimension_is_one_file(spark, warehouse):
+    aisles = spark.range(0, 25, 1, 8).selectExpr("CAST(id AS INT) AS aisle_id", "CAST(id AS STRING) AS aisle")
+    warehouse.append_new("aisles_dim", aisles)
+    assert len(warehouse.read("aisles_dim").inputFiles()) == 1
+
+
+def test_one_row_per_identifier(spark, warehouse):
+    first = spark.createDataFrame([(1, "a", 5), (1, "b", 5), (1, "b", None), (None, "n", 1), (None, "m", 2)], CLIENTS)
+    warehouse.append_new("clients_dim", first)
+    warehouse.append_new("clients_dim", spark.createDataFrame([(1, "zzz", 9), (2, None, 9), (None, "zz", 1)], CLIENTS))
+    expected = [(1, "b", 5), (2, None, 9), (None, "n", 1)]
+    assert rows_of(warehouse.read("clients_dim")) == sorted(expected, key=repr)
+
+
+def test_replacing_dates_in_a_database(spark):
+    database, schema = _database(spark), "time_id bigint, product_id int"
+    for rows in ([(20210102, 1), (20210102, 2), (20210103, 1), (None, 1)], [(20210102, 3), (20210102, 3)]):
+        for _ in range(2):
+            replace_dates(spark.createDataFrame(rows, schema), database, "gaps_fact", "time_id")
+    assert rows_of(read_table(spark, database, "gaps_fact")) == [(20210102, 3), (20210103, 1), (None, 1)]
+    assert rows_of(list_tables(spark, database)) == [("GAPS_FACT",)]
+
+
 def test_append_new_of_nothing(spark, warehouse):
     warehouse.append_new("out_of_stock_fact", spark.createDataFrame([], "time_id bigint, product_id int"))
     assert warehouse.read("out_of_stock_fact").count() == 0
@@ -82,7 +124,7 @@ def test_bucketed_tables_join_without_exchange(spark):
 
 
 def test_bucket_count_grows_with_the_table():
-    assert [bucket_count(n) for n in (0, 10**7, 10**9, 10**12)] == [8, 8, 250, 100_000]
+    assert [bucket_count(n) for n in (0, 10**7, 10**9, 10**12)] == [1, 3, 250, 250_000]
 
 
 def test_database_tables(spark):
@@ -90,7 +132,7 @@ def test_database_tables(spark):
     for name, n in (("alpha", 1_000), ("beta", 10)):
         append_table(spark.range(n).selectExpr("id", "CAST(id AS STRING) AS s"), database, name, "s VARCHAR(20)")
     assert rows_of(list_tables(spark, database)) == [("ALPHA",), ("BETA",)]
-    alpha = read_table(spark, database, "alpha", num_partitions=4, single_task_rows=100)
+    alpha = read_table(spark, database, "alpha", Ranges("id", 4))
     assert alpha.rdd.getNumPartitions() == 4
     assert {tuple(r) for r in alpha.collect()} == {(i, str(i)) for i in range(1_000)}
     pushed = plan_of(alpha.where("id > 990").select("id"))
@@ -107,27 +149,27 @@ def test_partitioned_read_keeps_rows_without_a_value(spark):
     database = _database(spark)
     rows = [(i if i % 5 else None, i) for i in range(200)]
     append_table(spark.createDataFrame(rows, "k int, v int"), database, "gaps")
-    assert rows_of(read_table(spark, database, "gaps", num_partitions=3, single_task_rows=100)) == sorted(rows, key=repr)
+    assert rows_of(read_table(spark, database, "gaps", Ranges("k", 3))) == sorted(rows, key=repr)
 
 
-def test_large_table_without_a_range_column_is_refused(spark):
+def test_read_without_ranges_is_serial(spark):
     database = _database(spark)
-    append_table(spark.range(50).selectExpr("CAST(id AS STRING) AS s"), database, "words", "s VARCHAR(20)")
-    assert read_table(spark, database, "words").count() == 50
-    with pytest.raises(ValueError, match="no column"):
-        read_table(spark, database, "words", single_task_rows=49)
+    append_table(spark.range(50).selectExpr("CAST(id AS STRING) AS s"), database, "words", "s VARCHAR(20)", 2)
+    words = read_table(spark, database, "words")
+    assert words.rdd.getNumPartitions() == 1 and words.count() == 50
 
 
 def test_empty_table_can_be_read(spark):
     database = _database(spark)
     append_table(spark.createDataFrame([], "k int"), database, "nothing")
     assert read_table(spark, database, "nothing").count() == 0
+    assert read_table(spark, database, "nothing", Ranges("k", 3)).count() == 0
 
 
 def test_decimal_ranges(spark):
     database = _database(spark)
     append_table(spark.range(40).selectExpr("CAST(id AS DECIMAL(10,2)) / 2 AS k"), database, "amounts")
-    rows = read_table(spark, database, "amounts", num_partitions=3, single_task_rows=0)
+    rows = read_table(spark, database, "amounts", Ranges("k", 3))
     assert rows.rdd.getNumPartitions() == 3 and rows.distinct().count() == 40
 
 

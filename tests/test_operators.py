@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallystar.plans.bindings import REGISTRY
 from tallystar.operators import (
     Arm,
     Link,
@@ -175,3 +176,13 @@ def test_lookup_broadcasts_only_within_its_bound(spark):
     large = lookup(many, dimension, "k", max_rows=100)
     assert SALT in plan_of(large)
     assert rows_of(large) == expected
+
+
+def test_exchanges_of_distinct_counts_and_anti_joins(spark):
+    sf_dir, name = "/root/testdata/sf0.001", "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, "-1")
+    try:
+        for query, most in (("topn_distinct", 4), ("topn_inner", 4), ("anti_join", 2)):
+            assert plan_of(REGISTRY[query](spark, sf_dir)).count("Exchange hashpartitioning") <= most
+    finally:
+        spark.conf.unset(name)
