@@ -80,7 +80,7 @@ class WarehouseTable:
 
     @property
     def bucket_keys(self) -> tuple[str, ...]:
-        """The declared distribution; a fact is divided by date already."""
+        """The declared distribution; facts are divided by date already, so theirs goes by the other keys."""
         return tuple(k for k in self.distribution if not (self.is_fact and k == FACT_DATE))
 
     @property
