@@ -1,6 +1,6 @@
 """Secret scanning: candidates from patterns, false positives removed by a random forest.
 
-1. One pass over the corpus counts which character follows which, and its frequent words (the dictionary).
+1. One pass over the corpus counts which character follows which, and all its words; the most frequent are the dictionary.
 2. Patterns find candidates: keys with a known prefix, values assigned to a telling name, long mixed strings.
 3. A candidate's features are its length, its mean character transition, entropy, the share of digits, the share that
    dictionary words cover, whether it stands in a path, URL or address, and what words and signs stand beside it.
@@ -37,7 +37,7 @@ from tallystar.scratch import stage
 
 TRAIN_FINDINGS = 20_000
 DICTIONARY = 1 << 16  # most frequent words
-DICTIONARY_ROWS = 1 << 20  # words that a task looks through for frequent ones at once
+DICTIONARY_ROWS = 1 << 20  # words that a task counts at once before it sends their counts
 TREES, DEPTH, SEED = 20, 5, 7
 SECRET = 0.5  # votes from which a finding is a secret
 MASK = "[SECRET]"
@@ -135,25 +135,47 @@ def profile(df: DataFrame, text: str = "text") -> Profile:
                 pairs += np.bincount(raw[:-1] << 8 | raw[1:], minlength=1 << 16)
             held.append(words(whole)[0])
             if sum(map(len, held)) >= DICTIONARY_ROWS:
-                yield from frequent(held)
+                yield counts(held)
                 held = []
-        yield from frequent(held)
+        yield counts(held)
         yield rows(0, np.arange(1 << 16), pairs)
 
-    def frequent(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def counts(held: list[np.ndarray]) -> pa.RecordBatch:
         found, n = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *held]), return_counts=True)
-        yield rows(1, found[n >= 4].view(np.int64), n[n >= 4])
+        return rows(1, found.view(np.int64), n)
 
     counted = df.select(F.col(f"`{text}`").alias("text")).mapInArrow(work, "kind int, key long, n long")
     counted = stage(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "profile")
     pairs = np.ones((256, 256))
     for row in counted.where("kind = 0 and n > 0").collect():
         pairs[divmod(row["key"], 256)] += row["n"]
-    top = counted.where("kind = 1").orderBy(F.desc("n"), "key").limit(DICTIONARY).toArrow()
-    dictionary = np.asarray(top["key"]).astype(np.int64).view(np.uint64).tolist()
+    dictionary = most_frequent(counted.where("kind = 1").select("key", "n"), DICTIONARY).view(np.uint64).tolist()
     return Profile(np.log(pairs / pairs.sum(axis=1, keepdims=True)), frozenset(dictionary))
 
 
+def most_frequent(counted: DataFrame, limit: int) -> np.ndarray:
+    """Keys of the ``limit`` largest counts, of equal counts the smallest keys. Where the limit falls is found by counts
+    per count and per range of keys, so no task sorts the top of all partitions."""
+    sizes = counted.groupBy("n").count().orderBy(F.desc("n")).collect()  # distinct counts are few
+    left, least = limit, None
+    for row in sizes:
+        if row["count"] > left:
+            least = row["n"]
+            break
+        left -= row["count"]
+    if least is None:
+        return np.asarray(counted.select("key").toArrow()["key"]).astype(np.int64)
+    ties = counted.where(F.col("n") == least).withColumn("range", F.shiftright("key", 48))
+    last, within = None, 0
+    for row in ties.groupBy("range").count().orderBy("range").collect():  # at most 65,536 ranges
+        last, within = row["range"], within + row["count"]
+        if within >= left:
+            break
+    above = np.asarray(counted.where(F.col("n") > least).select("key").toArrow()["key"]).astype(np.int64)
+    tied = np.sort(np.asarray(ties.where(F.col("range") <= last).select("key").toArrow()["key"]).astype(np.int64))
+    return np.append(above, tied[:left])
+
+
 # ---- forest -------------------------------------------------------------------------------------------------
 
 

@@ -319,3 +319,17 @@ def test_secrets_are_found_and_words_are_not(session):
     assert all(r["value"] not in clean[r["doc_id"]]["text"] for r in found)
     assert all(clean[i]["text"] == texts[i] for i in range(80, len(texts)))
     assert secrets.find(rows.where("false"), secrets.scanner(rows.where("false"))).count() == 0
+
+
+def test_dictionary_counts_every_word_whatever_the_partitions(session, monkeypatch):
+    monkeypatch.setattr(secrets, "DICTIONARY", 5)
+    texts = ["rare often"] * 3 + ["often twice"] * 2 + [f"often filler{i} filler{i}" for i in range(6)] + [None, ""]
+    rows = docs(session, texts)
+    hashes = lambda *own: frozenset(shingles.words([w.encode() for w in own])[0].tolist())
+    # 11 often, 3 rare, then seven words twice: of equal counts the smallest keys, as signed numbers
+    tied = hashes("twice", *(f"filler{i}" for i in range(6)))
+    tied = sorted(tied, key=lambda h: h - (1 << 64) if h >> 63 else h)[:3]
+    for n in (1, 3, 8):
+        assert secrets.profile(rows.repartition(n)).dictionary == hashes("often", "rare") | set(tied)
+    monkeypatch.setattr(secrets, "DICTIONARY", 100)
+    assert len(secrets.profile(rows.repartition(8)).dictionary) == 9
