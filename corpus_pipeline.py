@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallystar.llm import jaccard, language, packing, quality, secrets
 from tallystar.llm.common import prepare, table
+from tallystar.llm.queries import tokenizer_path
 from tallystar.scratch import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -56,9 +57,9 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sequences of all documents in batches."""
+    """The sequences of all documents in batches, with lengths in tokens."""
     prepare(spark)
-    return packing.pack(docs, packing.words(F.col("text")))
+    return packing.pack_tokens(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Stage]] = [

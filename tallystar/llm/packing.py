@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallystar.llm.token_counts import count_tokens
 from tallystar.scratch import stage
 
 MAX_LENGTH = 2048
@@ -64,6 +65,13 @@ def words(text: Column) -> Column:
     return F.size(F.array_remove(F.split(whole, r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
+def pack_tokens(df: DataFrame, path: str, text: str = "text", row_id: str = "doc_id") -> DataFrame:
+    """``pack`` with lengths in tokens of the byte-level BPE file ``path``."""
+    rows = df.select(F.col(f"`{row_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    counted = count_tokens(rows, path, into="n_tokens").withColumnRenamed("id", row_id)
+    return pack(counted, F.col("n_tokens"), row_id)
+
+
 def pack(
     df: DataFrame,
     length: Column,

@@ -103,9 +103,8 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches of all documents, with lengths in words."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, packing.words(F.col("text")))
+    """Batches of all documents, with lengths in tokens."""
+    return packing.pack_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
 @register
