@@ -12,7 +12,8 @@
 4. Pairs whose bitmaps differ in more places than the threshold allows are dropped, the others are verified on the whole
    sets. A set that is verified to be highly similar to another shares its answer, the component. Only pairs of sets
    with different answers remain to be verified, and long lists are gone through again with these answers until none
-   holds such a pair. The result needs no more than this: no pair of different components is left unchecked.
+   holds such a pair. For this, lists whose sets share one answer stay behind, and a long list is split into parts that
+   meet two at a time in a cell of their own. The result needs no more than this: no pair of different components is left unchecked.
 
 Shingles are compared by 64-bit hashes. Defined results: a null or empty text, or one without words, has 0 shingles and
 is linked with nothing. A null id has a null component. Repeated rows have equal sets and share a component.
@@ -45,6 +46,7 @@ SHORT_LIST = 24  # sets of a list that pairs all of them at once
 LEADERS = 4
 OPEN_PER_SET = 2048  # pairs that a long list may leave open per set before it is thinned out
 OWN_LISTS = 16  # long lists of a set, the smallest numbers first, that tell which list gives a pair
+CELL_ROWS = 1 << 15  # of a part of a long list; every two parts that hold different answers meet in a cell
 ROUNDS = 6  # that a long list is thinned out by leaders before all its open pairs are formed
 FILTER_BITS = 1 << 24  # of the filter for the sets that verification needs
 
@@ -301,21 +303,21 @@ def _in_blocks(groups: Iterator[tuple[int, list[bytes]]]) -> Iterator[pa.RecordB
             yield _rows(**empty, list=key, doc=rep[long], n=n[long], place=place[long])
 
 
-def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.Table]]:
-    """Consecutive rows of one key; memory holds one key's rows at a time."""
+def _by_key(batches: Iterator[pa.RecordBatch], *key: str) -> Iterator[tuple[int, pa.Table]]:
+    """Consecutive rows of one key with its first number; memory holds one key's rows at a time."""
     held: list[pa.RecordBatch] = []
     current = None
     for batch in batches:
-        keys = np.asarray(batch.column(batch.schema.get_field_index(key)))
-        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)] if len(keys) else [0]
+        keys = np.stack([np.asarray(batch.column(batch.schema.get_field_index(k))) for k in key], axis=1)
+        cuts = [0, *(np.flatnonzero(np.diff(keys, axis=0).any(axis=1)) + 1).tolist(), len(keys)] if len(keys) else [0]
         for start, end in zip(cuts, cuts[1:], strict=False):
-            if current is not None and keys[start] != current:
-                yield current, pa.Table.from_batches(held)
+            if current is not None and keys[start].tolist() != current:
+                yield current[0], pa.Table.from_batches(held)
                 held = []
-            current = int(keys[start])
+            current = keys[start].tolist()
             held.append(batch.slice(start, end - start))
     if held:
-        yield current, pa.Table.from_batches(held)
+        yield current[0], pa.Table.from_batches(held)
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,32 +350,64 @@ class Bitmaps:
         return found
 
 
+def _in_cells(answered: DataFrame) -> DataFrame:
+    """The rows of long lists with different answers, once per cell (``list``, ``low``, ``high``) and with their ``part``.
+
+    An answer of more than ``CELL_ROWS`` rows has parts of its own, the other answers of a list share parts. Parts of one
+    answer don't meet, any other two parts meet in one cell. A shared part also meets itself.
+    """
+    sizes = answered.groupBy("list", "answer").agg(F.count("*").alias("rows"))
+    parts = F.ceil(F.col("rows") / CELL_ROWS).cast("int")
+    large = F.col("rows") > CELL_ROWS
+    lists = sizes.groupBy("list").agg(
+        F.count("*").alias("answers"),
+        F.ceil(F.sum(F.when(~large, F.col("rows")).otherwise(0)) / CELL_ROWS).cast("int").alias("shared"),
+        F.collect_list(F.when(large, F.struct("answer", parts.alias("parts")))).alias("large"),
+    )
+    owners = "concat(array_repeat(cast(null as long), shared), flatten(transform(large, x -> array_repeat(x.answer, x.parts))))"
+    # Stored, so that the join has an exchange of its own and adaptive execution can split a long list.
+    lists = stage(lists.where("answers > 1").select("list", F.expr(owners).alias("owners")), "open-lists")
+    rows = answered.join(lists, "list")
+    rows = rows.withColumn("owner", F.expr("if(array_contains(owners, answer), answer, cast(null as long))"))
+    own = "filter(sequence(0, size(owners) - 1), i -> owners[i] <=> owner)"
+    rows = rows.withColumn("mine", F.expr(own))
+    rows = rows.withColumn("part", F.expr("mine[cast(pmod(xxhash64(doc), size(mine)) as int)]"))
+    others = "filter(sequence(0, size(owners) - 1), i -> owners[i] is null or not (owners[i] <=> owner))"
+    rows = rows.withColumn("other", F.explode(F.expr(others)))
+    rows = rows.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+    return rows.drop("owners", "owner", "mine", "other")
+
+
 def _again(round_: int):
     """Pairs of long lists whose sets have different answers and that their bitmaps leave possible: all such pairs, or
     those with new leaders while they are many."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, table in _by_key(batches, "list"):
-            doc, n, place, answer = (np.asarray(table.column(c)) for c in ("doc", "n", "place", "answer"))
-            answers, sizes = np.unique(answer, return_counts=True)
-            if len(answers) < 2:
+        for number, table in _by_key(batches, "list", "low", "high"):
+            doc, n, place, answer, part = (np.asarray(table.column(c)) for c in ("doc", "n", "place", "answer", "part"))
+            low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+            _, answers = np.unique(answer, return_inverse=True)
+            in_low, in_high = (np.bincount(answers[part == p], minlength=answers.max() + 1) for p in (low, high))
+            unequal = int(in_low.sum()) * int(in_high.sum()) - int((in_low * in_high).sum())
+            if low == high:
+                unequal //= 2
+            if not unequal:
                 continue
             order = np.lexsort((doc, n))
-            doc, n, place, answer = doc[order], n[order], place[order], answer[order]
+            doc, n, place, answer, part = doc[order], n[order], place[order], answer[order], part[order]
             bitmaps = Bitmaps([table.column("bits")[int(i)].as_py() for i in order])
             own_lists = np.full((len(doc), OWN_LISTS), -1, dtype=np.int64)
             for row, i in enumerate(order.tolist()):
                 first = table.column("own")[i].as_py()
                 own_lists[row, : len(first)] = first
             largest = np.searchsorted(n, n * 100 // PERCENT, side="right")  # by size, the last partner of each set
-            unequal = (len(doc) ** 2 - int((sizes**2).sum())) // 2
             few = unequal <= OPEN_PER_SET * len(doc) or round_ >= ROUNDS
             chosen = np.arange(len(doc))
             if not few:
                 chosen = np.argsort(_priority(doc, round_), kind="stable")[: 2 * LEADERS]
             for i in chosen.tolist():
                 j = np.arange(i + 1, largest[i]) if few else np.flatnonzero(np.arange(len(doc)) != i)
-                j = j[answer[j] != answer[i]]
+                j = j[(answer[j] != answer[i]) & ((part[j] != part[i]) | (low == high))]
                 j = j[reachable(n[j], place[j], n[i], place[i])]
                 j = j[bitmaps.least_differences(i, j) <= n[j] + n[i] - 2 * needed(n[j], n[i])]
                 # If the first lists of two sets meet, their smallest common list is among them: it alone gives the pair.
@@ -381,8 +415,7 @@ def _again(round_: int):
                 smallest = own_lists[j, shared.argmax(axis=1)]
                 j = j[~shared.any(axis=1) | (smallest == number)]
                 if len(j):
-                    low, high = np.minimum(doc[j], doc[i]), np.maximum(doc[j], doc[i])
-                    yield _rows(a=low, b=high, finished=pa.array([True] * len(j), pa.bool_()))
+                    yield _rows(a=np.minimum(doc[j], doc[i]), b=np.maximum(doc[j], doc[i]), finished=pa.array([True] * len(j), pa.bool_()))
             if not few:
                 yield _rows(a=doc[:1], b=doc[:1], finished=pa.array([False], pa.bool_()))
 
@@ -529,13 +562,13 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     named = stage(components(links), "answers")
 
     own = F.slice(F.array_sort(F.collect_set("list")), 1, OWN_LISTS)
-    about = bitmaps.select("doc", "bits").join(long.groupBy("doc").agg(own.alias("own")), "doc")
-    long = stage(long.join(about, "doc"), "long-lists")
+    about = stage(bitmaps.select("doc", "bits").join(long.groupBy("doc").agg(own.alias("own")), "doc"), "about")
     checked = candidates.select("a", "b")
     for round_ in range(1, ROUNDS + 1):
         answered = long.join(named.toDF("doc", "answer"), "doc", "left")
         answered = answered.withColumn("answer", F.coalesce("answer", "doc"))
-        placed = answered.repartition("list").sortWithinPartitions("list")
+        cell = ["list", "low", "high"]
+        placed = _in_cells(answered).join(about, "doc").repartition(*cell).sortWithinPartitions(*cell)
         found = stage(placed.mapInArrow(_again(round_), "a long, b long, finished boolean"), "again")
         new = found.where("a <> b").select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
         new = stage(new, "open")

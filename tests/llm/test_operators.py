@@ -333,3 +333,40 @@ def test_dictionary_counts_every_word_whatever_the_partitions(session, monkeypat
         assert secrets.profile(rows.repartition(n)).dictionary == hashes("often", "rare") | set(tied)
     monkeypatch.setattr(secrets, "DICTIONARY", 100)
     assert len(secrets.profile(rows.repartition(8)).dictionary) == 9
+
+
+def test_long_lists_are_split_into_cells(session, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL_ROWS", 8)
+    answers = {1: [7] * 100 + [8] * 30 + list(range(20, 40)), 2: [9] * 50, 3: [1, 2, 2]}
+    rows = [(k, 1000 * k + i, a) for k, own in answers.items() for i, a in enumerate(own)]
+    cells = {}
+    for r in jaccard._in_cells(session.createDataFrame(rows, "list long, doc long, answer long")).collect():
+        cells.setdefault((r["list"], r["low"], r["high"]), []).append((r["doc"], r["answer"], r["part"]))
+    met = []
+    for (number, low, high), own in cells.items():
+        assert len(own) <= 40 < len(answers[1])
+        for x, y in itertools.combinations(own, 2):
+            if x[1] != y[1] and (x[2] != y[2] or low == high):
+                met.append((number, *sorted((x[0], y[0]))))
+    pairs = [(k, x, y) for (k, x, a), (m, y, b) in itertools.combinations(rows, 2) if k == m and a != b]
+    assert sorted(met) == sorted(pairs)
+
+
+def test_jaccard_in_cells_matches_brute_force(session, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL_ROWS", 5)
+    made = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(300)]
+    first, second = (made.choices(vocabulary, k=60) for _ in range(2))
+    texts = []
+    for base, n in ((first, 60), (second, 40)):
+        for _ in range(n):
+            copy = list(base)
+            for _ in range(made.randint(0, 3)):
+                copy[made.randrange(len(copy))] = made.choice(vocabulary)
+            texts.append(" ".join(copy))
+    texts += [" ".join(first[:20] + made.choices(vocabulary, k=30)) for _ in range(40)]
+    sets = [shingle_set(t) for t in texts]
+    links = [(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(sets), 2) if 100 * len(a & b) >= 75 * len(a | b)]
+    top = roots(links)
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs(session, texts)).collect()}
+    assert found == {i: top.get(i, i) for i in range(len(texts))}
