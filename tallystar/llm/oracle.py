@@ -54,4 +54,33 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_quality": QUALITY, "op9_warc": WARC}
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+DECONTAMINATE = f"""
+WITH items AS (
+    SELECT item_id, {_WORDS} AS w, least(10, len(w)) AS k FROM benchmark
+), wanted AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i + 1:i + k], ' ') AS passage
+    FROM (SELECT item_id, w, k, unnest(range(len(w) - k + 1)) AS i FROM items WHERE k > 0)
+), texts AS (
+    SELECT doc_id, {_WORDS} AS w FROM documents
+), placed AS (
+    SELECT doc_id, k, i, array_to_string(w[i + 1:i + k], ' ') AS passage
+    FROM (SELECT doc_id, w, k, unnest(range(greatest(len(w) - k + 1, 0))) AS i FROM texts, (SELECT DISTINCT k FROM wanted))
+), hits AS (
+    SELECT doc_id, item_id, i, k FROM placed JOIN wanted USING (k, passage)
+), words AS (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS place FROM hits) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(named.n, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM texts LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_quality": QUALITY, "op9_warc": WARC, "op12_decontaminate": DECONTAMINATE}

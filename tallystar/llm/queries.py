@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, jaccard, language, packing, quality, secrets, token_counts, url_rules, vectors, warc
+from tallystar.llm import bpe, decontaminate, jaccard, language, packing, quality, secrets, token_counts, url_rules, vectors, warc
 from tallystar.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,20 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings of every document, with the forest's verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.find(docs, secrets.scanner(docs)).drop("value")
+
+
+@register
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every text that lie in a passage of a benchmark item."""
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.decontaminate(docs, items)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    found = found.withColumn("n_hit", n_hit)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
