@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, decontaminate, jaccard, language, packing, quality, secrets, token_counts, url_rules, vectors, warc
+from tallystar.llm import bpe, decontaminate, jaccard, language, packing, quality, resample, secrets, token_counts, url_rules, vectors, warc
 from tallystar.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,3 +129,10 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@register
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document towards the benchmark, and the rank of those drawn."""
+    docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    return resample.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank", "n_words")
