@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, decontaminate, jaccard, language, packing, quality, resample, secrets, token_counts, url_rules, vectors, warc
+from tallystar.llm import alignment, bpe, decontaminate, jaccard, language, packing, quality, resample, secrets, token_counts, url_rules, vectors, warc
 from tallystar.llm.common import prepare, table
+from tallystar.scratch import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 TOKENIZER = "byte_bpe_50k.json"
+OTHER_TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 1024
 
 
@@ -136,3 +138,15 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight and score of every document towards the benchmark, and the rank of those drawn."""
     docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
     return resample.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+@register
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers for every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align(docs, tokenizer_path(), tokenizer_path(OTHER_TOKENIZER))
+    digest = F.coalesce(F.sha2("groups", 256), F.lit("")).alias("groups_sha256")
+    numbers = ["n_a", "n_b", "n_groups", "n_links"]
+    rows = aligned.select("doc_id", *numbers, digest, "links", F.monotonically_increasing_id().alias("row"))
+    scored = alignment.score_links(stage(rows, "aligned"), "row")
+    return scored.select("doc_id", *numbers, "n_best", "count_sum", "groups_sha256")
