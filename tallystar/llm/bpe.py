@@ -12,11 +12,11 @@ Rows are encoded one by one; input columns of the names that are added give way
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +27,13 @@ from tallystar.llm.vocabulary import Memo, RankTable, chunk_keys, load, pre_toke
 GAP = -1  # stands between sequences and where a symbol was taken; in no pair
 
 
+def _sorted(places: list[np.ndarray]) -> np.ndarray:
+    """The distinct places of all lists, in order."""
+    out = np.concatenate(places)
+    out.sort()
+    return out[np.append(True, out[1:] != out[:-1])]
+
+
 class PairIndex:
     """Places of each active rank in one linked list of symbols."""
 
@@ -63,7 +70,7 @@ class PairIndex:
             rank = heapq.heappop(self.active)
             left, right, merged = self.table.of_rank[rank]
             lists = self.places.pop(rank)
-            at = np.unique(np.concatenate(lists)) if len(lists) > 1 else lists[0]
+            at = _sorted(lists) if len(lists) > 1 else lists[0]
             at = at[(symbols[at] == left) & (symbols[after[at]] == right)]  # others took part in a merge since
             if left == right and len(at) > 1:  # in a run of places that overlap, every other one merges
                 first = np.append(True, after[at[:-1]] != at[1:])
@@ -75,21 +82,21 @@ class PairIndex:
             symbols[at], symbols[taken] = merged, GAP
             after[at] = after[taken]
             before[after[at]] = at
-            self.note(np.unique(np.concatenate([before[at], at])))
+            self.note(_sorted([before[at], at]))
 
 
-def merge_all(sequences: list[bytes], byte_ids: np.ndarray, table: RankTable) -> list[np.ndarray]:
-    """The ids of each sequence of bytes."""
-    lengths = np.array([len(s) for s in sequences], dtype=np.int64)
-    symbols = np.full(int(lengths.sum()) + len(sequences) + 1, GAP, dtype=np.int64)
-    borders = np.append(0, np.cumsum(lengths + 1))
+def merge_all(joined: bytes, sizes: np.ndarray, byte_ids: np.ndarray, table: RankTable) -> list[bytes]:
+    """The ids of sequences of bytes that stand one after the other, as the bytes of 32-bit numbers."""
+    symbols = np.full(len(joined) + len(sizes) + 1, GAP, dtype=np.int64)
+    borders = np.append(0, np.cumsum(sizes + 1))
     filled = np.ones(len(symbols), dtype=bool)
     filled[borders] = False
-    symbols[filled] = byte_ids[np.frombuffer(b"".join(sequences), dtype=np.uint8)]
+    symbols[filled] = byte_ids[np.frombuffer(joined, dtype=np.uint8)]
     PairIndex(symbols, table).merge()
     left = symbols != GAP
-    per_sequence = np.add.reduceat(left, borders[:-1]) if sequences else np.array([], dtype=np.int64)
-    return np.split(symbols[left].astype(np.int32), np.cumsum(per_sequence)[:-1])
+    ends = (4 * np.append(0, np.cumsum(left))[borders]).tolist()
+    ids = symbols[left].astype(np.int32).tobytes()
+    return [ids[start:end] for start, end in zip(ends, ends[1:], strict=False)]
 
 
 class Encoder:
@@ -100,24 +107,68 @@ class Encoder:
         self.memo = Memo(self._solve)
         self.special = {s: np.int32(i).tobytes() for s, i in self.vocabulary.special.items()}
 
-    def _solve(self, new: list[str]) -> list[bytes]:
-        cut = [pre_tokens(c) for c in new]
-        distinct = list({p for pieces in cut for p in pieces})
-        ids = merge_all([p.encode() for p in distinct], self.byte_ids, self.table) if distinct else []
-        known = {p: i.tobytes() for p, i in zip(distinct, ids, strict=True)}
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+    def _solve(self, new: list[str]) -> dict[str, bytes]:
+        words = [c for c in new if c.isalpha()]  # one pre-token with the blank before it: no need to look at them one by one
+        cut = {c: pre_tokens(c) for c in new if not c.isalpha()}
+        pieces = list(set[str]().union(*cut.values()))
+        spelled = [p.encode() for p in pieces]
+        joined = "".join(f" {w}" for w in words).encode()
+        starts = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == ord(" "))
+        sizes = [np.diff(starts, append=len(joined)), np.array([len(p) for p in spelled], dtype=np.int64)]
+        ids = merge_all(joined + b"".join(spelled), np.concatenate(sizes), self.byte_ids, self.table)
+        found = dict(zip(words, ids, strict=False))
+        known = dict(zip(pieces, ids[len(words) :], strict=True))
+        found.update((c, b"".join(map(known.__getitem__, own))) for c, own in cut.items())
+        return found
 
     def encode(self, batch: list[str | None]) -> pa.ListArray:
         segments = [self.vocabulary.segments(t) if t else [] for t in batch]
-        known = self.memo.learn(s for own in segments for s in own if s not in self.special)
+        keys = [[[] if s in self.special else chunk_keys(s) for s in own] for own in segments]
+        known = self.memo.learn(k for own in keys for k in own)
         ids = [
-            b"".join(self.special.get(s) or b"".join(map(known.__getitem__, chunk_keys(s))) for s in own)
-            for own in segments
+            b"".join(self.special.get(s) or b"".join(map(known.__getitem__, k)) for s, k in zip(own, cut, strict=True))
+            for own, cut in zip(segments, keys, strict=True)
         ]
         offsets = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
         return pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(ids), dtype=np.int32))
 
 
+class Decoder:
+    """The bytes of all ids in one array, from which those of a batch are taken at once."""
+
+    def __init__(self, path: str):
+        spelled = load(path).spelled
+        size = max(spelled) + 1
+        self.table = np.frombuffer(b"".join(spelled.get(i, b"") for i in range(size)), dtype=np.uint8)
+        # One more than there are ids: unknown ones are looked up there, and are empty.
+        self.sizes = np.array([len(spelled.get(i, b"")) for i in range(size)] + [0], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def decode(self, column: pa.ListArray) -> pa.Array:
+        """The text of each row's ids."""
+        row_ids = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = pc.fill_null(column.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids[(ids < 0) | (ids >= len(self.sizes))] = len(self.sizes) - 1
+        sizes = self.sizes[ids]
+        ends = np.append(0, np.cumsum(sizes))
+        places = np.arange(ends[-1]) + np.repeat(self.starts[ids] - ends[:-1], sizes)
+        out = self.table[places]
+        rows = ends[np.append(0, np.cumsum(row_ids))]
+        first = out[rows[:-1][np.diff(rows) > 0]]
+        whole = out.tobytes()
+        if not ((first & 0xC0) == 0x80).any() and _is_utf8(whole):  # no character goes over the end of a row
+            return pa.Array.from_buffers(pa.string(), len(row_ids), [None, pa.py_buffer(rows.astype(np.int32)), pa.py_buffer(whole)])
+        return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(rows, rows[1:], strict=False)], pa.string())
+
+
+def _is_utf8(data: bytes) -> bool:
+    try:
+        data.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
     """``df`` without the text, with its token ids (array of int).
 
@@ -142,10 +193,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     schema = T.StructType([*out.schema, T.StructField(into, T.StringType(), False)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = defaultdict(bytes, load(path).spelled)
+        decoder = Decoder(path)
         for batch in batches:
-            rows = texts(batch, ids)
-            found = [b"".join(map(spelled.__getitem__, own or ())).decode("utf-8", "replace") for own in rows]
-            yield with_columns(batch, **{into: pa.array(found, pa.string())})
+            yield with_columns(batch, **{into: decoder.decode(batch.column(batch.schema.get_field_index(ids)))})
 
     return out.mapInArrow(work, schema)

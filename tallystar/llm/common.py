@@ -37,7 +37,7 @@ def texts(batch: pa.RecordBatch, name: str) -> Iterator[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def gathered(batches: Iterator[pa.RecordBatch], name: str, size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+def gathered(batches: Iterator[pa.RecordBatch], name: str, size: int = 6 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of text, for work that is cheaper on many rows at once."""
     held: list[pa.RecordBatch] = []
     filled = 0

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tallystar.llm.common import gathered, parted, replacing, texts, with_columns
 from tallystar.llm.vocabulary import Memo, RankTable, chunk_keys, load, pre_tokens
 
+
 def merged_lengths(sequences: list[bytes], byte_ids: np.ndarray, table: RankTable) -> np.ndarray:
     """Symbols that are left of each sequence of bytes once no pair merges any more."""
     lengths = np.array([len(s) for s in sequences], dtype=np.int64)
@@ -56,20 +57,22 @@ class Counter:
         self.byte_ids = np.array(self.vocabulary.byte_ids, dtype=np.int64)
         self.memo = Memo(self._solve)
 
-    def _solve(self, new: list[str]) -> list[int]:
+    def _solve(self, new: list[str]) -> dict[str, int]:
         cut = [pre_tokens(c) for c in new]
         distinct = list({p for pieces in cut for p in pieces})
         lengths = merged_lengths([p.encode() for p in distinct], self.byte_ids, self.table)
         known = dict(zip(distinct, lengths.tolist(), strict=True))
-        return [sum(map(known.__getitem__, pieces)) for pieces in cut]
+        return {c: sum(map(known.__getitem__, pieces)) for c, pieces in zip(new, cut, strict=True)}
 
     def count(self, batch: list[str | None]) -> list[int]:
         special = self.vocabulary.special
-        segments = [self.vocabulary.segments(t) if t else [] for t in batch]
-        known = self.memo.learn(s for own in segments for s in own if s not in special)
-        return [
-            sum(1 if s in special else sum(map(known.__getitem__, chunk_keys(s))) for s in own) for own in segments
-        ]
+        special_counts, keys = [], []
+        for text in batch:
+            segments = self.vocabulary.segments(text) if text else []
+            special_counts.append(sum(s in special for s in segments))
+            keys.append([k for s in segments if s not in special for k in chunk_keys(s)])
+        known = self.memo.learn(keys)
+        return [n + sum(map(known.__getitem__, own)) for n, own in zip(special_counts, keys, strict=True)]
 
 
 def count_tokens(df: DataFrame, path: str, text: str = "text", into: str = "n_tokens") -> DataFrame:

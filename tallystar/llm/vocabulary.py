@@ -29,8 +29,11 @@ _chunks = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
 _blank_beside_white = re.compile(f" [{WHITE}]|[{WHITE}] ").search
 _pre_tokens: Callable[[str], list[str]] = regex.compile(PRE_TOKEN).findall
 
-# Beyond this, a task forgets the chunks that its last texts did not hold.
-MEMO_CHUNKS = 1 << 17
+# Beyond this, a task forgets the chunks that its last texts did not hold. Keys of more characters than the second number
+# are forgotten with their batch, for a chunk may be a whole text.
+MEMO_BYTES = 64 << 20
+LONG_KEY = 256
+_ENTRY = 200  # bytes of an entry besides its key
 
 
 def chunk_keys(text: str) -> list[str]:
@@ -116,16 +119,20 @@ class RankTable:
 class Memo:
     """What is known of chunks, by key, for one task. ``solve`` works out those that are new, many at a time."""
 
-    def __init__(self, solve: Callable[[list[str]], Iterable[Any]]):
+    def __init__(self, solve: Callable[[list[str]], dict[str, Any]]):
         self.solve, self.known = solve, {}
-
-    def learn(self, texts: Iterable[str]) -> dict[str, Any]:
-        """A table that holds every chunk of the texts, and others while they are few."""
-        found: set[str] = set()
-        for text in texts:
-            found.update(chunk_keys(text))
-        if len(self.known) > MEMO_CHUNKS:
+        self.size, self.long = 0, list[str]()
+
+    def learn(self, keys: Iterable[list[str]]) -> dict[str, Any]:
+        """A table that holds all the keys, and others while they are few."""
+        found = set[str]().union(*keys)
+        for key in self.long:
+            self.known.pop(key, None)
+        if self.size > MEMO_BYTES:
             self.known = {c: v for c, v in self.known.items() if c in found}
-        new = [c for c in found if c not in self.known]
-        self.known.update(zip(new, self.solve(new), strict=True))
+            self.size = sum(map(len, self.known)) + _ENTRY * len(self.known)
+        new = list(found.difference(self.known))
+        self.known.update(self.solve(new))
+        self.size += sum(map(len, new)) + _ENTRY * len(new)
+        self.long = [c for c in new if len(c) > LONG_KEY]
         return self.known
