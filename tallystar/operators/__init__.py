@@ -7,8 +7,9 @@ from tallystar.operators.aggregate import (
     match_groups,
     roll_up,
 )
-from tallystar.operators.joins import anti_join, anti_join_sql, lookup, semi_join
-from tallystar.operators.ranking import Arm, best_per_arm, ranked_with_ties, top_k
+from tallystar.operators.history import join_as_of, with_versions
+from tallystar.operators.joins import anti_join, anti_join_sql, lookup, missing_members, semi_join
+from tallystar.operators.ranking import Arm, best_per_arm, rank_all, ranked_with_ties, top_k
 from tallystar.operators.setops import union_all, union_distinct
 from tallystar.operators.skew import Salted, salt_pair, salted_join
 
@@ -22,9 +23,12 @@ __all__ = [
     "conditional_count",
     "count_pairs",
     "distinct_rows",
+    "join_as_of",
     "keep_groups",
     "lookup",
     "match_groups",
+    "missing_members",
+    "rank_all",
     "ranked_with_ties",
     "roll_up",
     "salt_pair",
@@ -33,4 +37,5 @@ __all__ = [
     "top_k",
     "union_all",
     "union_distinct",
+    "with_versions",
 ]

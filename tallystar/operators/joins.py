@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallystar.operators.setops import union_all
 from tallystar.operators.skew import salted_join
 
 # A date dimension of 500 years stays below this; its key and date take about 10 MB.
@@ -66,3 +69,25 @@ def lookup(fact: DataFrame, dimension: DataFrame, on: str, max_rows: int = BROAD
     if dimension.limit(max_rows + 1).count() <= max_rows:
         return fact.join(F.broadcast(dimension), on)
     return salted_join(fact, dimension, on)
+
+
+def missing_members(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """Identifiers that a fact refers to and that are not in their dimension: ``dimension``, ``member`` (bigint) and
+    ``n_rows``, the rows of the fact that refer to it. References that are NULL refer to nothing.
+
+    ``dimensions`` maps a column of the fact to the one-column table of its identifiers. The fact is read once whatever
+    the number of dimensions: each row gives one reference per dimension, and equal references are counted in the map
+    tasks, so a hot identifier travels as one row per task. What is known of all dimensions is one anti-join.
+    """
+    references = F.array(
+        *(F.struct(F.lit(c).alias("dimension"), F.col(c).cast("bigint").alias("member")) for c in dimensions)
+    )
+    counted = fact.select(F.inline(references)).where("member IS NOT NULL").groupBy("dimension", "member")
+    counted = counted.agg(F.count(F.lit(1)).alias("n_rows"))
+    known = [
+        ids.select(F.lit(c).alias("_dimension"), F.col(ids.columns[0]).cast("bigint").alias("_member"))
+        for c, ids in dimensions.items()
+    ]
+    held = union_all(*known)
+    same = (F.col("dimension") == F.col("_dimension")) & (F.col("member") == F.col("_member"))
+    return counted.join(held, same, "left_anti")

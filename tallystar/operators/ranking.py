@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# The values that hold the first k ranks are broadcast, so k has a bound.
+from tallystar.scratch import stage
+
+# Up to this k, the values that hold the first k ranks are broadcast; for a larger one they are joined by a shuffle.
 BROADCAST_RANKS = 100_000
 
 
@@ -53,6 +55,35 @@ def ranked_with_ties(df: DataFrame, by: str, k: int, descending: bool = True, al
     return df.join(ranks, df[by].eqNullSafe(ranks["_value"])).drop("_value")
 
 
+def rank_all(
+    df: DataFrame, by: str, descending: bool = True, alias: str = "rnk", parts: int | None = None
+) -> DataFrame:
+    """All rows with their ``rank()`` over the whole result, without a window over the whole result.
+
+    Rows are counted per value in the map tasks, and the values are put into ``parts`` ranges (the session's shuffle
+    partitions unless given). Within a range a running sum counts the rows ahead; the sums of the ranges, one number
+    each, give what is ahead of a range. Ties are one value, so no border divides them. The ranks are joined back to the
+    rows by value; a value with very many rows is split by adaptive execution.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = _order("_value", descending, nulls_first=False)
+    values = df.groupBy(F.col(by).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    ranges = values.repartitionByRange(parts, order).withColumn("_range", F.spark_partition_id())
+    ranges = stage(ranges, "ranges")  # the same ranges for the sums and for the rows within
+    sums = dict(ranges.groupBy("_range").agg(F.sum("_rows")).collect())
+    ahead, offsets = 0, []
+    for part in sorted(sums):
+        offsets.append((part, ahead))
+        ahead += sums[part]
+    offsets = F.broadcast(spark.createDataFrame(offsets, "_range int, _offset bigint"))
+    within = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(within), F.lit(0).cast("bigint"))
+    ranks = ranges.withColumn("_before", before).join(offsets, "_range")
+    ranks = ranks.select("_value", (F.col("_offset") + F.col("_before") + 1).alias(alias))
+    return df.join(ranks, df[by].eqNullSafe(ranks["_value"])).drop("_value")
+
+
 @dataclass(frozen=True)
 class Arm:
     """One of several top-1 questions asked of the same groups: its measure and its number of input rows."""

@@ -24,8 +24,11 @@ from tallystar.operators import (
     conditional_count,
     count_pairs,
     distinct_rows,
+    join_as_of,
     keep_groups,
     match_groups,
+    missing_members,
+    rank_all as rank_every_row,
     ranked_with_ties,
     roll_up,
     salt_pair,
@@ -62,14 +65,17 @@ from tallystar.sinks import (
 )
 from tallystar.sources import (
     Database,
+    Evolution,
     Ranges,
     list_tables,
     read_csv,
     read_csv_inferred,
+    read_evolved,
     read_feed_dates,
     read_feed_day_before,
     read_json,
     read_json_inferred,
+    read_json_merged,
     read_parquet,
     read_run_date,
     read_table,
@@ -241,6 +247,13 @@ def rank_ties_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_with_ties(lines, "l_extendedprice", 150_000)
 
 
+@register("rank_all")
+def rank_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rank of every order line by its price."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return rank_every_row(lines, "l_extendedprice")
+
+
 def _best_regions(
     spark: SparkSession, sf_dir: str, segment: Callable[[Column], Column], priority: Callable[[Column], Column]
 ) -> DataFrame:
@@ -473,6 +486,44 @@ def silver_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{root}/parquet")
 
 
+@register("silver_feed_merged")
+def silver_feed_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed whose objects gain a field, lose another and change a type from one date to the next."""
+    root = f"{fresh_dir(spark, 'feed')}/json"
+    events = table(spark, sf_dir, "events").withColumn("date", F.col("ts").cast("date"))
+    even = F.dayofmonth("date") % 2 == 0
+    plain = events.where(even).select("event_id", F.col("user_id").alias("product_id"), "value", "date")
+    rich = events.where(~even).select(
+        "event_id", F.col("user_id").alias("product_id"), "event_type", F.concat(F.lit("v"), F.col("user_id") % 7).alias("value"), "date"
+    )
+    for part in (plain, rich):
+        write_dated(part, root, "json", ["date"])
+    return distinct_rows(read_json_merged(spark, root)).select(
+        "event_id", "product_id", "event_type", F.col("value").isNotNull().alias("valued"),
+        F.when(F.col("value").startswith("v"), F.col("value")).alias("code"), "date",
+    )
+
+
+@register("silver_evolved")
+def silver_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run dates of the orders with other columns: at first narrow identifiers, an old name and no priority."""
+    root = f"{fresh_dir(spark, 'orders')}/parquet"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    first, second, third = (RUN_DATE + dt.timedelta(days=n) for n in range(3))
+    old = orders.where("o_orderkey % 3 = 0").selectExpr("CAST(o_orderkey AS INT) AS o_orderkey", "o_custkey AS customer", "o_totalprice")
+    write_run_date(old, root, first, "parquet")
+    write_run_date(orders.where("o_orderkey % 3 = 1").drop("o_orderpriority"), root, second, "parquet")
+    write_run_date(orders.where("o_orderkey % 3 = 2").withColumn("note", F.lit("x")), root, third, "parquet")
+    rule = Evolution(
+        orders.schema,
+        added={"o_orderpriority": "unknown"},
+        widened={"o_orderkey": ["int"]},
+        renamed={"o_custkey": ["customer"]},
+        dropped=["note"],
+    )
+    return read_evolved(spark, root, rule, [first, second, third])
+
+
 @register("feed_by_date")
 def feed_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{fresh_dir(spark, 'feed')}/json"
@@ -678,6 +729,143 @@ def dwh_replace_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept(warehouse, warehouse.read("orders_fact"))
 
 
+def _client_loads(spark: SparkSession, sf_dir: str) -> list[tuple[dt.date, DataFrame]]:
+    """What the shop said of its clients on four days, in the order in which the loads arrive: the third is late."""
+    customer = table(spark, sf_dir, "customer")
+    clients, moved = _as_clients(customer), F.col("location_area_id") + 100
+    debtors = _as_clients(customer.where("c_acctbal < 0"))
+    building = _as_clients(customer.where("c_mktsegment = 'BUILDING'"))
+    return [
+        (dt.date(1992, 1, 1), clients.where("client_id % 10 <> 0")),
+        (dt.date(1996, 1, 1), debtors.withColumn("location_area_id", moved)),
+        (dt.date(1994, 6, 1), building.withColumn("fullname", F.concat(F.lit("late "), F.col("client_id")))),
+        (dt.date(1997, 3, 1), clients.where("client_id % 10 = 0")),
+    ]
+
+
+def _with_history(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Every load twice, so that a repeated one must change nothing."""
+    warehouse = _warehouse(spark, sf_dir)
+    warehouse.create()
+    for day, clients in _client_loads(spark, sf_dir):
+        for _ in range(2):
+            warehouse.record("clients_dim", clients, day)
+    return warehouse
+
+
+@register("dwh_dimension_history")
+def dwh_dimension_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of the clients after changes, a late load and repeated ones, with the days between which they hold."""
+    warehouse = _with_history(spark, sf_dir)
+    return _kept(warehouse, warehouse.read_versions("clients_dim"))
+
+
+@register("dwh_history_sales")
+def dwh_history_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by the location that the client had on the day of the order."""
+    warehouse = _with_history(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("client_id"), _day("o_orderdate", "order_date"), "o_totalprice"
+    )
+    placed = join_as_of(orders, warehouse.read_versions("clients_dim"), "client_id", "order_date")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    sums = placed.groupBy("location_area_id").agg(F.count(F.lit(1)).alias("n_orders"), F.sum(cents).alias("cents"))
+    return _kept(warehouse, sums)
+
+
+@register("dwh_late_rows")
+def dwh_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load without some lines, then late and corrected lines of old dates, twice: the other lines of the dates stay."""
+    warehouse = _warehouse(spark, sf_dir)
+    warehouse.create()
+    orders = _shop(spark, sf_dir, "orders").withColumn("time_id", date_key("order_date"))
+    warehouse.replace_dates("orders_fact", orders.where("order_id % 8 <> 1"))
+    late = orders.where("order_id % 8 = 1")
+    corrected = orders.where("order_id % 8 = 2").withColumn("quantity", F.col("quantity") + 1000)
+    for _ in range(2):
+        warehouse.merge_rows("orders_fact", late.union(corrected))
+    return _kept(warehouse, warehouse.read("orders_fact"))
+
+
+@register("dwh_storage")
+def dwh_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the catalog says that the loaded tables are kept, and whether the loaded files are: rows, codec, distribution."""
+    warehouse = _warehouse(spark, sf_dir)
+    warehouse.create()
+    warehouse.append("clients_dim", _clients(spark, sf_dir))
+    orders = _shop(spark, sf_dir, "orders").withColumn("time_id", date_key("order_date"))
+    warehouse.append("orders_fact", orders)
+    reports = []
+    for name in ("clients_dim", "orders_fact"):
+        kept, rows = warehouse.storage(name), warehouse.read(name)
+        suffixes = {".".join(path.rsplit(".", 2)[1:]) for path in rows.inputFiles()}
+        text = [F.lit(kept.get(k)).alias(k) for k in ("provider", "compression", "partition_columns", "bucket_columns")]
+        report = [F.lit(name).alias("table_name"), *text, F.lit(kept["n_buckets"]).cast("int").alias("n_buckets")]
+        report += [F.lit(",".join(sorted(suffixes))).alias("files"), F.count(F.lit(1)).alias("n_rows")]
+        reports.append(rows.agg(*report))
+    return _kept(warehouse, union_all(*reports))
+
+
+def _sales(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The dates and orders of the shop, with the orders by month."""
+    warehouse = _warehouse(spark, sf_dir)
+    warehouse.create()
+    warehouse.append("dates_dim", _dates(spark, sf_dir))
+    orders = _shop(spark, sf_dir, "orders").withColumn("time_id", date_key("order_date"))
+    warehouse.append("orders_fact", orders)
+    return warehouse
+
+
+def sunday_sales(warehouse: Warehouse) -> DataFrame:
+    """Quantities sold per month on the Sundays of a spring: only the files of these months are opened."""
+    sundays = warehouse.read("dates_dim").where("action_year = 1995 AND action_month IN (3, 4, 5) AND action_weekday = 1")
+    sold = warehouse.read_star("orders_fact", sundays)
+    return sold.groupBy("action_year", "action_month").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("quantity"), F.countDistinct("time_id").alias("n_days")
+    )
+
+
+@register("star_month_sales")
+def star_month_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _sales(spark, sf_dir)
+    return _kept(warehouse, sunday_sales(warehouse))
+
+
+@register("fact_orphans")
+def fact_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines against dimensions that lack members: how many refer to none, and the dimensions with rows for these.
+
+    Then the products bring half of the missing members, which fills their rows in.
+    """
+    warehouse = _warehouse(spark, sf_dir)
+    warehouse.create()
+    products = _shop(spark, sf_dir, "products")
+    warehouse.append_new("products_dim", products.where("aisle_id <= 30"))
+    warehouse.append_new("clients_dim", _earlier_clients(spark, sf_dir))
+    orders = _shop(spark, sf_dir, "orders")
+    held = {"product_id": "products_dim", "client_id": "clients_dim"}
+    missing = stage(
+        missing_members(orders, {c: warehouse.read(name).select(c) for c, name in held.items()}), "missing-members"
+    )
+    for column, name in held.items():
+        warehouse.add_members(name, missing.where(F.col("dimension") == column).select("member"))
+    warehouse.complete_members("products_dim", products.where("aisle_id > 30 AND product_id % 2 = 0"))
+    left = missing_members(orders, {c: warehouse.read(name).select(c) for c, name in held.items()})
+    counted = missing.groupBy("dimension").agg(F.count(F.lit(1)).alias("n_members"), F.sum("n_rows").alias("n_rows"))
+    empty = {"product_id": F.col("product_name").isNull(), "client_id": F.col("fullname").isNull()}
+    after = [
+        warehouse.read(name).agg(
+            F.lit(column).alias("dimension"), F.count(F.lit(1)).alias("n_dimension"), F.count_if(empty[column]).alias("n_empty")
+        )
+        for column, name in held.items()
+    ]
+    still = left.groupBy(F.col("dimension").alias("_dimension")).agg(F.count(F.lit(1)).alias("n_left"))
+    report = union_all(*after).join(counted, "dimension", "left").join(still, F.col("dimension") == F.col("_dimension"), "left")
+    zero = F.lit(0).cast("bigint")
+    numbers = [F.coalesce(c, zero).alias(c) for c in ("n_members", "n_rows", "n_left")]
+    return _kept(warehouse, report.select("dimension", *numbers, "n_dimension", "n_empty"))
+
+
 @register("dwh_bucketed_join")
 def dwh_bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and their lines, stored bucketed by the join key and a salt for hot orders: no shuffle to join."""

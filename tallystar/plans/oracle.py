@@ -95,6 +95,24 @@ def _report(name: str, rows: str | None, columns: bool = False) -> str:
     """
 
 
+# Versions of the clients: what each load said, the changes among it by day, and the day of the next change.
+_VERSIONS = """
+    SELECT client_id, fullname, location_area_id, valid_from,
+        CAST(lead(valid_from) OVER (PARTITION BY client_id ORDER BY valid_from) AS DATE) AS valid_to
+    FROM (
+        SELECT *, lag(fullname || '|' || location_area_id) OVER (PARTITION BY client_id ORDER BY valid_from) AS before
+        FROM (
+            SELECT c_custkey AS client_id, c_name AS fullname, CAST(c_nationkey AS BIGINT) AS location_area_id,
+                DATE '1992-01-01' AS valid_from
+            FROM customer WHERE c_custkey % 10 <> 0
+            UNION ALL SELECT c_custkey, c_name, c_nationkey + 100, DATE '1996-01-01' FROM customer WHERE c_acctbal < 0
+            UNION ALL SELECT c_custkey, 'late ' || c_custkey, c_nationkey, DATE '1994-06-01'
+            FROM customer WHERE c_mktsegment = 'BUILDING'
+            UNION ALL SELECT c_custkey, c_name, c_nationkey, DATE '1997-03-01' FROM customer WHERE c_custkey % 10 = 0
+        ) loads
+    ) days
+    WHERE before IS NULL OR before <> fullname || '|' || location_area_id
+"""
 _AREAS = "SELECT DISTINCT c_nationkey AS location_area_id FROM customer"
 _ORDERS_FACT = _SHOP_ORDERS.replace("l_orderkey,", "l_orderkey AS order_id,").replace(
     "l_partkey, l_suppkey, l_linenumber,", "l_partkey AS product_id, l_suppkey AS client_id, l_linenumber AS store_id,"
@@ -278,6 +296,76 @@ ORACLE_SQL: dict[str, str] = {
             CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS time_id
         FROM lineitem
     """,
+    "rank_all": """
+        SELECT l_orderkey, l_linenumber, l_extendedprice, rank() OVER (ORDER BY l_extendedprice DESC NULLS LAST) AS rnk
+        FROM lineitem
+    """,
+    "silver_feed_merged": """
+        SELECT DISTINCT event_id, user_id AS product_id, CASE WHEN odd THEN event_type END AS event_type,
+            odd OR value IS NOT NULL AS valued, CASE WHEN odd THEN 'v' || (user_id % 7) END AS code, date
+        FROM (SELECT *, CAST(ts AS DATE) AS date, day(ts) % 2 = 1 AS odd FROM events) t
+    """,
+    "silver_evolved": """
+        SELECT o_orderkey, o_custkey, o_totalprice,
+            CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority ELSE 'unknown' END AS o_orderpriority,
+            CAST(DATE '2024-01-03' + CAST(o_orderkey % 3 AS INT) AS DATE) AS run_date
+        FROM orders
+    """,
+    "dwh_dimension_history": _VERSIONS,
+    "dwh_history_sales": f"""
+        SELECT v.location_area_id, count(*) AS n_orders, CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+        FROM orders o JOIN ({_VERSIONS}) v ON v.client_id = o.o_custkey AND CAST(o.o_orderdate AS DATE) >= v.valid_from
+            AND (v.valid_to IS NULL OR CAST(o.o_orderdate AS DATE) < v.valid_to)
+        GROUP BY v.location_area_id
+    """,
+    "dwh_late_rows": """
+        SELECT DISTINCT l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS client_id,
+            CAST(l_linenumber AS BIGINT) AS store_id,
+            CAST(CAST(l_quantity AS INT) + CASE WHEN l_orderkey % 8 = 2 THEN 1000 ELSE 0 END AS INT) AS quantity,
+            CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS time_id
+        FROM lineitem
+    """,
+    "dwh_storage": """
+        SELECT 'clients_dim' AS table_name, 'parquet' AS provider, 'gzip' AS compression, '' AS partition_columns,
+            '' AS bucket_columns, 0 AS n_buckets, 'gz.parquet' AS files, count(*) AS n_rows
+        FROM customer
+        UNION ALL
+        SELECT 'orders_fact', 'parquet', 'gzip', 'date_period', 'order_id,product_id,client_id,store_id',
+            CAST(max(n_buckets) AS INT), 'gz.parquet', CAST(sum(n) AS BIGINT)
+        FROM (
+            SELECT count(*) AS n, ceil(max(count(*)) OVER () / 4000000.0) AS n_buckets
+            FROM lineitem GROUP BY date_trunc('month', l_shipdate)
+        ) t
+    """,
+    "star_month_sales": """
+        SELECT CAST(year(d) AS INT) AS action_year, CAST(month(d) AS INT) AS action_month, count(*) AS n_lines,
+            CAST(sum(CAST(l_quantity AS INT)) AS BIGINT) AS quantity, count(DISTINCT d) AS n_days
+        FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_quantity FROM lineitem) t
+        WHERE year(d) = 1995 AND month(d) IN (3, 4, 5) AND dayofweek(d) = 0
+        GROUP BY year(d), month(d)
+    """,
+    "fact_orphans": """
+        WITH lost AS (
+            SELECT 'product_id' AS dimension, l_partkey AS member, p_name IS NOT NULL AND l_partkey % 2 = 0 AS brought
+            FROM lineitem LEFT JOIN part ON p_partkey = l_partkey WHERE p_size IS NULL OR p_size > 30
+            UNION ALL
+            SELECT 'client_id', l_suppkey, false FROM lineitem
+            WHERE l_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+        ), sums AS (
+            SELECT dimension, count(DISTINCT member) AS n_members, count(*) AS n_rows,
+                count(DISTINCT member) FILTER (WHERE NOT brought) AS n_empty
+            FROM lost GROUP BY dimension
+        ), held AS (
+            SELECT 'product_id' AS dimension, (SELECT count(*) FROM part WHERE p_size <= 30
+                OR (p_size > 30 AND p_partkey % 2 = 0)
+                OR (p_partkey IN (SELECT l_partkey FROM lineitem))) AS n
+            UNION ALL SELECT 'client_id', (SELECT count(*) FROM customer WHERE c_acctbal >= 0)
+                + (SELECT count(DISTINCT member) FROM lost WHERE dimension = 'client_id')
+        )
+        SELECT h.dimension, coalesce(n_members, 0) AS n_members, coalesce(n_rows, 0) AS n_rows,
+            CAST(0 AS BIGINT) AS n_left, h.n AS n_dimension, coalesce(n_empty, 0) AS n_empty
+        FROM held h LEFT JOIN sums s ON s.dimension = h.dimension
+    """,
     "dwh_bucketed_join": """
         SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, l.l_partkey, l.l_quantity, l.l_extendedprice
         FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey

@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Elapsed times on timestamps without a zone must not depend on daylight saving.
     "spark.sql.session.timeZone": "UTC",
+    # Rows that pass a Python worker travel in batches that long texts cannot swell.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 
@@ -37,6 +39,7 @@ def local_session(cores: str = "8", app_name: str = "tallystar", **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.scheduler.mode", "FAIR")
     )
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)

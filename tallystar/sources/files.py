@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystar.scratch import stage
+
 # What PostgreSQL's COPY ... CSV writes: quotes are doubled, quoted fields may hold line breaks, an unquoted
 # empty field is NULL and a quoted one is the empty string. Spaces at either end belong to the value.
 CSV_DIALECT = {
@@ -22,6 +27,8 @@ CSV_DIALECT = {
     "ignoreTrailingWhiteSpace": False,
 }
 CORRUPT = "_corrupt_record"
+# The folders that ``write_csv`` divides the rows of a task into, so that no file outgrows its bound.
+SHARE = "_share"
 # Stands for an unquoted empty field while a file is parsed, so that a quoted one stays the empty string. Database
 # text cannot hold this character. ``write_csv`` adds one to values that consist of it alone, the readers take it away.
 NULL_MARK = "\0"
@@ -73,17 +80,58 @@ def read_csv(
     if base_path is not None:
         reader = reader.option("basePath", base_path)
     df = reader.csv(path)
+    if SHARE not in declared.names:
+        df = df.drop(SHARE)
     if keep_corrupt:
         df = df.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNotNull() & _unreadable(schema), F.col(CORRUPT)))
     return _without_mark(df)
 
 
+# The types that a column of text can be inferred as, the narrowest first: what a value looks like, and the type it must
+# then fit. A column gets the first type that all of its values have, else it is text.
+_LOOKS = {
+    "INT": r"[+-]?\d{1,10}",
+    "BIGINT": r"[+-]?\d{1,19}",
+    "DECIMAL(38,0)": r"[+-]?\d{1,38}",
+    "DOUBLE": r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[+-]?Infinity|-?Inf|NaN",
+    "DATE": r"\d{4}-\d{2}-\d{2}",
+    "TIMESTAMP_NTZ": r"\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?",
+    "BOOLEAN": r"(?i)true|false",
+}
+
+
+def infer_types(texts: DataFrame) -> dict[str, str]:
+    """The narrowest type of each column of text: one aggregate over all rows and columns, inside generated code.
+
+    NULL and the empty text have every type. A column without any other value is text.
+    """
+    checks = []
+    for i, name in enumerate(texts.columns):
+        value = F.col(f"`{name}`")
+        given = value.isNotNull() & (value != "")
+        checks.append(F.bool_or(given).alias(f"{i}"))
+        for kind, look in _LOOKS.items():
+            fits = value.rlike(rf"\A({look})\z") & value.try_cast(kind).isNotNull()
+            checks.append(F.bool_and(~given | fits).alias(f"{i} {kind}"))
+    found = texts.agg(*checks).first()
+    kinds = {}
+    for i, name in enumerate(texts.columns):
+        fitting = [k for k in _LOOKS if found[f"{i} {k}"]] if found[f"{i}"] else []
+        kinds[name] = fitting[0] if fitting else "STRING"
+    return kinds
+
+
 def read_csv_inferred(spark: SparkSession, path: str | list[str], line_breaks: bool = True) -> DataFrame:
-    """CSV with types inferred from all rows, which costs one more pass over the files.
+    """CSV with types inferred from all rows. The files are parsed once, into staged columns of text.
 
-    Files of several columns that are known to hold no quoted line breaks are split over tasks without ``line_breaks``.
+    A quoted empty field is NULL in a column that is not text. Files of several columns that are known to hold no quoted
+    line breaks are split over tasks without ``line_breaks``.
     """
-    return _without_mark(spark.read.options(**_csv_options(line_breaks)).option("inferSchema", True).csv(path))
+    texts = spark.read.options(**_csv_options(line_breaks)).option("inferSchema", False).csv(path).drop(SHARE)
+    texts = stage(texts, "texts")
+    kinds = infer_types(texts)
+    typed = {n: F.col(f"`{n}`").try_cast(kind) for n, kind in kinds.items() if kind != "STRING"}
+    return _without_mark(texts.withColumns(typed) if typed else texts)
 
 
 def read_json(
@@ -111,6 +159,38 @@ def read_json_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.json(path)
 
 
+def read_json_merged(
+    spark: SparkSession, path: str | list[str], base_path: str | None = None, keep_corrupt: bool = False
+) -> DataFrame:
+    """JSON lines whose objects need not have the same fields, such as a feed of several dates.
+
+    Each line is parsed once, into a staged VARIANT; one aggregate merges the schemas of all values, and a second read
+    of the stage takes the fields out. A field that an object lacks is NULL; one of numbers with fractions is a double,
+    one of different kinds is text. Partition columns below ``base_path`` follow the fields, which must not share their
+    names. A line that is no object has NULL in all fields; ``keep_corrupt`` adds its text as ``_corrupt_record``.
+    """
+    reader = spark.read if base_path is None else spark.read.option("basePath", base_path)
+    lines = reader.text(path)
+    folders = [c for c in lines.columns if c != "value"]
+    parsed = F.try_parse_json("value")
+    parsed = F.when(F.schema_of_variant(parsed).startswith("OBJECT<"), parsed)
+    rows = stage(lines.select(parsed.alias("_object"), F.when(parsed.isNull(), F.col("value")).alias(CORRUPT), *folders), "json")
+    merged = rows.agg(F.schema_of_variant_agg("_object")).first()[0]
+    schema = _declared(merged)
+    fields = [] if schema is None else [F.try_variant_get("_object", "$", schema).alias("_fields")]
+    out = rows.select(*fields, CORRUPT, *folders)
+    return out.select(*(["_fields.*"] if fields else []), *([CORRUPT] if keep_corrupt else []), *folders)
+
+
+def _declared(merged: str) -> str | None:
+    """The type of the merged objects in the form of a declared one; None if there was no field."""
+    if not merged.startswith("OBJECT<") or merged == "OBJECT<>":
+        return None
+    kinds = re.sub(r"DECIMAL\(\d+,\s*0\)", "DECIMAL(38,0)", merged.replace("OBJECT<", "STRUCT<"))
+    kinds = re.sub(r"DECIMAL\(\d+,\s*[1-9]\d*\)", "DOUBLE", kinds)
+    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", kinds)
+
+
 def read_parquet(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
@@ -125,6 +205,71 @@ def read_run_date(spark: SparkSession, root: str, run_date: dt.date) -> DataFram
     return spark.read.option("basePath", root).parquet(run_path(root, run_date))
 
 
+@dataclass(frozen=True)
+class Evolution:
+    """How the columns of a dataset may differ between run dates.
+
+    ``schema`` is what a read gives. A column in ``added`` may be missing from a date and then has the given value; the
+    type of a column in ``widened`` may be one of those listed; ``renamed`` gives earlier names of a column. All other
+    differences are errors, also columns that the schema does not have, unless they are listed in ``dropped``.
+    """
+
+    schema: T.StructType
+    added: Mapping[str, Any] = field(default_factory=dict)
+    widened: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    renamed: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    dropped: Sequence[str] = ()
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """The rows of one date with the declared columns; an error if the rule does not cover its columns."""
+        given = {f.name: f.dataType for f in df.schema}
+        columns, used = [], set(self.dropped)
+        for declared in self.schema:
+            names = [n for n in (declared.name, *self.renamed.get(declared.name, ())) if n in given]
+            if len(names) > 1:
+                raise ValueError(f"{declared.name} has several names: {', '.join(names)}")
+            if not names:
+                if declared.name not in self.added:
+                    raise ValueError(f"{declared.name} is missing")
+                columns.append(F.lit(self.added[declared.name]).cast(declared.dataType).alias(declared.name))
+                continue
+            (name,) = names
+            used.add(name)
+            kind = given[name].simpleString()
+            if given[name] != declared.dataType and kind not in self.widened.get(declared.name, ()):
+                raise ValueError(f"{declared.name} is {kind}")
+            columns.append(F.col(f"`{name}`").cast(declared.dataType).alias(declared.name))
+        unknown = set(given) - used
+        if unknown:
+            raise ValueError(f"columns that are not declared: {', '.join(sorted(unknown))}")
+        return df.select(*columns)
+
+
+def read_evolved(
+    spark: SparkSession, root: str, rule: Evolution, dates: Sequence[dt.date], column: str = "run_date"
+) -> DataFrame:
+    """Run dates of a Parquet dataset whose columns changed over time, with the columns of ``rule`` and the date.
+
+    The schema of each date is read from its files, not merged in file order; dates with the same columns are one scan,
+    in which conditions and the choice of columns still reach the files. A date that is missing is an error.
+    """
+    dated = replace(rule, schema=T.StructType([*rule.schema.fields, T.StructField(column, T.DateType())]))
+    groups: dict[str, list[dt.date]] = {}
+    schemas: dict[str, T.StructType] = {}
+    for day in sorted(set(dates)):
+        found = spark.read.parquet(run_path(root, day)).schema
+        key = found.simpleString()
+        schemas[key] = found
+        groups.setdefault(key, []).append(day)
+    parts = []
+    for key, days in groups.items():
+        whole = T.StructType([*schemas[key].fields, T.StructField(column, T.DateType())])
+        reader = spark.read.schema(whole).option("basePath", root)
+        rows = reader.parquet(*(run_path(root, day) for day in days))
+        parts.append(dated.apply(rows))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_feed_dates(
     spark: SparkSession,
     root: str,
@@ -138,7 +283,7 @@ def read_feed_dates(
     It is an error if one of them has not landed, unless ``allow_missing`` is set and another one has.
     """
     folders = {day: f"{root.rstrip('/')}/{column}={day.isoformat()}" for day in dates}
-    missing = [day.isoformat() for day, folder in folders.items() if not _exists(spark, folder)]
+    missing = [day.isoformat() for day, folder in folders.items() if not exists(spark, folder)]
     if missing and not (allow_missing and len(missing) < len(folders)):
         raise FileNotFoundError(f"no feed in {root} for {', '.join(missing)}")
     days = ",".join(day.isoformat() for day in folders if day.isoformat() not in missing)
@@ -152,6 +297,6 @@ def read_feed_day_before(
     return read_feed_dates(spark, root, schema, [run_date - dt.timedelta(days=1)], column)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -14,12 +15,16 @@ from pyspark.sql import types as T
 from tallystar.scratch import fresh_dir, shared_root, stage
 from tallystar.sinks import write_csv, write_dated, write_parquet, write_run_date
 from tallystar.sources import (
+    Evolution,
+    infer_types,
     read_csv,
     read_csv_inferred,
+    read_evolved,
     read_feed_dates,
     read_feed_day_before,
     read_json,
     read_json_inferred,
+    read_json_merged,
     read_run_date,
 )
 from tests.test_operators import plan_of, rows_of
@@ -89,9 +94,108 @@ def test_csv_keeps_what_does_not_parse(spark, tmp_path):
 
 def test_csv_files_are_bounded(spark):
     path = f"{fresh_dir(spark, 'csv')}/t"
-    write_csv(spark.range(0, 100, 1, 1), path, max_records=30)
-    assert len(glob.glob(f"{path}/*.csv")) == 4
-    assert read_csv_inferred(spark, path).agg(F.sum("id")).first()[0] == 4950
+    sizes = [128 << 10, 5, 128 << 10, 300 << 10, 0] * 8
+    rows = [(i, '"' * 50 + "x" * n if n else None) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "id int, text string").coalesce(2)
+    write_csv(df, path, max_bytes=256 << 10)
+    written = {f: os.path.getsize(f) for f in glob.glob(f"{path}/*/*.csv")}
+    over = [f for f, size in written.items() if size > 256 << 10]
+    assert len(over) == 8 and all(len(open(f, newline="").read().splitlines()) == 2 for f in over)  # one large row each
+    assert len(written) < 30
+    assert rows_of(read_csv(spark, path, df.schema)) == rows_of(df)
+    write_csv(df.limit(3), path)
+    assert read_csv_inferred(spark, path).count() == 3 and read_csv_inferred(spark, path).columns == ["id", "text"]
+
+
+def test_csv_of_no_rows(spark):
+    path = f"{fresh_dir(spark, 'csv')}/t"
+    df = spark.createDataFrame([], "id int, text string")
+    for _ in range(2):
+        write_csv(df, path)
+        assert read_csv(spark, path, df.schema).count() == 0
+        assert read_csv_inferred(spark, path).columns == ["id", "text"]
+
+
+def test_csv_inferred_in_one_pass(spark):
+    values = {
+        "small": ["1", "-7", None, ""],
+        "large": ["1", "3000000000", None, None],
+        "huge": ["9" * 30, "1", "-2", None],
+        "real": ["1", "2.5", "-1e3", "NaN"],
+        "day": ["2021-01-02", None, "2020-02-29", ""],
+        "wrong_day": ["2021-01-02", "2021-02-30", None, None],
+        "moment": ["2021-01-02", "2021-01-02 10:11:12.5", "2021-01-02T01:02:03", None],
+        "flag": ["true", "FALSE", None, None],
+        "padded": [" 1", "2", None, None],
+        "suffix": ["1d", "2", None, None],
+        "mixed": ["1", "true", None, None],
+        "nothing": [None, "", None, None],
+    }
+    rows = spark.createDataFrame(list(zip(*values.values(), strict=True)), ", ".join(f"{n} string" for n in values))
+    kinds = ["INT", "BIGINT", "DECIMAL(38,0)", "DOUBLE", "DATE", "STRING", "TIMESTAMP_NTZ", "BOOLEAN"] + ["STRING"] * 4
+    assert infer_types(rows) == dict(zip(values, kinds, strict=True))
+    plan = plan_of(rows.agg(F.bool_and(F.col("small").try_cast("int").isNotNull())))
+    assert "Python" not in plan
+    path = f"{fresh_dir(spark, 'csv')}/t"
+    write_csv(rows, path)
+    back = read_csv_inferred(spark, path)
+    assert [f.dataType.simpleString() for f in back.schema] == [k.lower() for k in kinds]
+    assert rows_of(back.select("small", "day", "padded")) == sorted(
+        [(1, DAY, " 1"), (-7, None, "2"), (None, dt.date(2020, 2, 29), None), (None, None, None)], key=repr
+    )
+
+
+def test_json_with_different_fields(spark, tmp_path):
+    lines = {
+        "date=2021-01-01": ['{"a": 1, "deep": {"x": 1.5}}', "not json", "[1]"],
+        "date=2021-01-02": ['{"a": "one", "b": [1, 2]}', '{"deep": {"x": 2, "y": true}, "n": null}', ""],
+        "date=2021-01-03": ["{}"],
+    }
+    for folder, own in lines.items():
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "f.json").write_text("\n".join(own) + "\n")
+    df = read_json_merged(spark, str(tmp_path), keep_corrupt=True)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    assert kinds == {
+        "a": "string", "b": "array<bigint>", "deep": "struct<x:double,y:boolean>", "n": "string",
+        "_corrupt_record": "string", "date": "date",
+    }
+    rows = [(r["a"], r["b"], r["deep"] and tuple(r["deep"]), r["_corrupt_record"], r["date"].day) for r in df.collect()]
+    assert sorted(rows, key=repr) == sorted(
+        [
+            ("1", None, (1.5, None), None, 1), (None, None, None, "not json", 1), (None, None, None, "[1]", 1),
+            ("one", [1, 2], None, None, 2), (None, None, (2.0, True), None, 2), (None, None, None, "", 2),
+            (None, None, None, None, 3),
+        ],
+        key=repr,
+    )
+    assert read_json_merged(spark, str(tmp_path / "date=2021-01-03")).columns == []
+
+
+def test_columns_that_change_between_dates(spark):
+    root = fresh_dir(spark, "evolved")
+    days = [DAY + dt.timedelta(days=n) for n in range(3)]
+    frames = [
+        spark.createDataFrame([(1, "a"), (None, None)], "k int, old string"),
+        spark.createDataFrame([("b", 2)], "name string, k bigint"),
+        spark.createDataFrame([("c", 3, 9, "x")], "name string, k bigint, extra int, note string"),
+    ]
+    for day, df in zip(days, frames, strict=True):
+        write_run_date(df, root, day, "parquet")
+    schema = T.StructType().add("k", "long").add("name", "string").add("extra", "integer")
+    rule = Evolution(schema, added={"extra": 0}, widened={"k": ["int"]}, renamed={"name": ["old"]}, dropped=["note"])
+    df = read_evolved(spark, root, rule, days)
+    expected = [(1, "a", 0, days[0]), (None, None, 0, days[0]), (2, "b", 0, days[1]), (3, "c", 9, days[2])]
+    assert rows_of(df) == sorted(expected, key=repr)
+    assert "GreaterThan(k,2)" in plan_of(df.where("k > 2").select("k"))
+    for wrong, message in (
+        (replace(rule, added={}), "extra is missing"),
+        (replace(rule, widened={}), "k is int"),
+        (replace(rule, dropped=()), "not declared: note"),
+        (replace(rule, renamed={}), "name is missing"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            read_evolved(spark, root, wrong, days)
 
 
 def test_csv_inferred_types(spark):

@@ -8,10 +8,13 @@ from dataclasses import replace
 
 import pytest
 
-from tallystar.plans.bindings import _database
+from tallystar.operators import join_as_of, missing_members
+from tallystar.plans.bindings import _database, _sales, sunday_sales
 from tallystar.plans.daily import Layout, land_database, load_warehouse, refine_table, run_daily
 from tallystar.schemas import LOAD_ORDER, bronze_schema, warehouse_tables
-from tallystar.scratch import fresh_dir
+from tallystar.plans.star import date_dimension
+from tallystar.plans.steps import Step, run_steps
+from tallystar.scratch import fresh_dir, stage
 from tallystar.sinks import Warehouse, append_new_rows, append_table, bucket_count, replace_dates, store_bucketed
 from tallystar.sources import Ranges, list_tables, read_table, read_tables
 from tests.test_operators import plan_of, rows_of
@@ -84,6 +87,103 @@ def test_replacing_dates(spark, warehouse, unit):
     assert len(warehouse.read("out_of_stock_fact").inputFiles()) == (8 if unit == 1 else 4)
 
 
+@pytest.mark.parametrize("unit", [1, 100])
+def test_late_rows_leave_the_others_of_their_dates(spark, warehouse, unit):
+    warehouse = replace(warehouse, database=f"{warehouse.database}_{unit}", location=fresh_dir(spark, "w"), date_unit=unit)
+    warehouse.create()
+    first = [(1, 1, 1, 1, 5, 20210102), (2, 1, 1, 1, 5, 20210102), (3, 1, 1, 1, 5, 20210203), (4, 1, None, 1, 5, None)]
+    warehouse.merge_rows("orders_fact", spark.createDataFrame(first, ORDERS))
+    february = spark.table(warehouse.name_of("orders_fact")).where(f"date_period = {20210203 // unit}").inputFiles()
+    late = [(9, 1, 1, 1, 1, 20210102), (1, 1, 1, 1, 6, 20210102), (1, 1, 1, 1, 4, 20210102), (4, 1, None, 1, 7, None)]
+    for _ in range(2):
+        warehouse.merge_rows("orders_fact", spark.createDataFrame(late, ORDERS))
+    expected = [late[0], late[1], first[1], first[2], late[3]]
+    assert rows_of(warehouse.read("orders_fact")) == sorted(expected, key=repr)
+    after = spark.table(warehouse.name_of("orders_fact")).where(f"date_period = {20210203 // unit}").inputFiles()
+    assert set(after) == set(february)  # a period that no late row is in keeps its files
+
+
+def test_versions_of_a_dimension(spark, warehouse):
+    def load(day, *rows):
+        for _ in range(2):
+            warehouse.record("clients_dim", spark.createDataFrame(rows, CLIENTS), dt.date(*day))
+
+    def versions(client):
+        rows = warehouse.read_versions("clients_dim").where(f"client_id <=> {client}").orderBy("valid_from").collect()
+        return [(r["fullname"], r["location_area_id"], str(r["valid_from"]), str(r["valid_to"])) for r in rows]
+
+    load((2021, 1, 1), (1, "a", 5), (2, "b", None), (None, "n", 1), (3, "c", 1), (3, "d", 1))
+    files = set(spark.table(warehouse.history_of("clients_dim")).inputFiles())
+    load((2021, 2, 1), (1, "a", 5), (2, "b", None))
+    assert set(spark.table(warehouse.history_of("clients_dim")).inputFiles()) == files  # nothing changed
+    load((2021, 3, 1), (1, "a", 6), (2, "b", 0), (4, "e", 1))
+    load((2022, 3, 1), (1, "a", 7))
+    assert versions(1) == [("a", 5, "2021-01-01", "2021-03-01"), ("a", 6, "2021-03-01", "2022-03-01"), ("a", 7, "2022-03-01", "None")]
+    assert versions(2) == [("b", None, "2021-01-01", "2021-03-01"), ("b", 0, "2021-03-01", "None")]
+    assert versions(3) == [("d", 1, "2021-01-01", "None")] and versions("NULL") == [("n", 1, "2021-01-01", "None")]
+    load((2021, 6, 1), (1, "late", 6))  # between two versions
+    assert versions(1)[1:3] == [("a", 6, "2021-03-01", "2021-06-01"), ("late", 6, "2021-06-01", "2022-03-01")]
+    load((2022, 3, 1), (1, "late", 6))  # a correction of the last day: no change on it any more
+    assert versions(1)[2:] == [("late", 6, "2021-06-01", "None")]
+    assert {r[0] for r in spark.sql(f"SHOW PARTITIONS {warehouse.history_of('clients_dim')}").collect()} == {
+        "ended_year=2021", "ended_year=9999"
+    }
+    assert len(versions(4)) == 1 and warehouse.read_versions("clients_dim").count() == 8
+
+
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_facts_as_of_their_day(spark, max_rows):
+    first, second = dt.date(2021, 1, 1), dt.date(2021, 2, 1)
+    versions = stage(spark.createDataFrame([(1, "a", first, second), (1, "b", second, None), (2, "c", second, None)],
+                     "k int, v string, valid_from date, valid_to date"), "versions")
+    days = [dt.date(2020, 1, 1), first, dt.date(2021, 1, 31), second, dt.date(2030, 1, 1), None]
+    facts = spark.createDataFrame([(k, d) for k in (1, 2, None) for d in days], "k int, day date")
+    joined = join_as_of(facts, versions, "k", "day", max_rows)
+    expected = [(1, first, "a"), (1, days[2], "a"), (1, second, "b"), (1, days[4], "b"), (2, second, "c"), (2, days[4], "c")]
+    assert rows_of(joined.select("k", "day", "v")) == sorted(expected, key=repr)
+
+
+def test_inferred_members(spark, warehouse):
+    warehouse.append_new("clients_dim", spark.createDataFrame([(1, "a", 5)], CLIENTS))
+    facts = spark.createDataFrame([(1, 1), (2, 1), (2, 1), (3, None), (None, 7)], "client_id int, product_id int")
+    dimensions = {"client_id": warehouse.read("clients_dim").select("client_id"),
+                  "product_id": warehouse.read("products_dim").select("product_id")}
+    missing = missing_members(facts, dimensions)
+    assert rows_of(missing) == [("client_id", 2, 2), ("client_id", 3, 1), ("product_id", 1, 3), ("product_id", 7, 1)]
+    for _ in range(2):
+        warehouse.add_members("clients_dim", missing.where("dimension = 'client_id'").select("member"))
+    assert rows_of(warehouse.read("clients_dim")) == [(1, "a", 5), (2, None, None), (3, None, None)]
+    brought = spark.createDataFrame([(1, "zzz", 9), (2, "b", 6), (4, None, None), (5, "e", None)], CLIENTS)
+    for _ in range(2):
+        warehouse.complete_members("clients_dim", brought)
+    expected = [(1, "a", 5), (2, "b", 6), (3, None, None), (4, None, None), (5, "e", None)]
+    assert rows_of(warehouse.read("clients_dim")) == sorted(expected, key=repr)
+
+
+def test_conditions_on_dates_prune_the_files_of_facts(spark, warehouse):
+    warehouse = replace(warehouse, database=f"{warehouse.database}_m", location=fresh_dir(spark, "w"), date_unit=100)
+    warehouse.create()
+    days = spark.sql("SELECT explode(sequence(DATE '2021-01-01', DATE '2021-12-31')) AS d")
+    warehouse.append("dates_dim", date_dimension(days))
+    facts = days.selectExpr("CAST(date_format(d, 'yyyyMMdd') AS BIGINT) AS time_id", "day(d) AS product_id")
+    warehouse.append("out_of_stock_fact", facts)
+    spring = warehouse.read("dates_dim").where("action_month = 4 AND action_weekday = 1")
+    star = warehouse.read_star("out_of_stock_fact", spring)
+    assert "dynamicpruning" in plan_of(star)
+    assert star.count() == 4 and star.columns[:2] == ["time_id", "product_id"]
+    counted = star.groupBy("action_month").count()
+    counted.collect()
+    scans = counted._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in scans
+
+
+def test_storage_as_the_catalog_has_it(warehouse):
+    assert warehouse.storage("out_of_stock_fact") == {
+        "provider": "parquet", "compression": "gzip", "partition_columns": "date_period", "bucket_columns": "product_id",
+        "n_buckets": "4",
+    }
+
+
 def test_small_dimension_is_one_file(spark, warehouse):
     aisles = spark.range(0, 25, 1, 8).selectExpr("CAST(id AS INT) AS aisle_id", "CAST(id AS STRING) AS aisle")
     warehouse.append_new("aisles_dim", aisles)
@@ -258,3 +358,46 @@ def test_daily_job_into_a_database(spark):
     for _ in range(2):
         _run(spark, layout, database, {**SHOP, "clients": clients})
     assert {name: rows_of(read_table(spark, database, name)) for name in expected} == expected
+
+
+def test_steps_begin_when_their_needs_are_done(spark):
+    done = []
+
+    def work(name):
+        done.append((name, spark.range(10).count()))
+
+    steps = {"c": Step(lambda: work("c"), ("a", "b")), "a": Step(lambda: work("a")), "b": Step(lambda: work("b"), ("a",))}
+    run_steps(spark, steps)
+    assert done == [("a", 10), ("b", 10), ("c", 10)]
+    with pytest.raises(ValueError, match="no such steps: x"):
+        run_steps(spark, {"a": Step(lambda: None, ("x",))})
+    with pytest.raises(ValueError, match="need each other: a, b"):
+        run_steps(spark, {"a": Step(lambda: None, ("b",)), "b": Step(lambda: None, ("a",))})
+
+
+def test_a_failed_step_stops_those_that_need_it(spark):
+    done = []
+
+    def fail():
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        run_steps(spark, {"a": Step(fail), "b": Step(lambda: done.append("b"), ("a",))})
+    assert done == []
+
+
+def test_increments_of_a_date_are_merged(spark, warehouse):
+    layout = Layout(fresh_dir(spark, "bronze"), fresh_dir(spark, "silver"))
+    _run(spark, layout, warehouse)
+    late = {**SHOP, "orders": [(9, 1, 1, 1, 2, dt.date(2021, 1, 2))]}
+    _run(spark, layout, warehouse, late, whole_dates=False)
+    assert rows_of(warehouse.read("orders_fact")) == sorted([*EXPECTED["orders_fact"], (9, 1, 1, 1, 2, 20210102)], key=repr)
+    _run(spark, layout, warehouse, late)  # the dates that it holds, declared whole
+    assert rows_of(warehouse.read("orders_fact")) == sorted([(9, 1, 1, 1, 2, 20210102), (2, 2, 2, 1, 1, 20210103)], key=repr)
+
+
+def test_star_query_opens_the_months_that_it_needs(spark):
+    warehouse = _sales(spark, "/root/testdata/sf0.001")
+    sales = sunday_sales(warehouse)
+    assert "dynamicpruning" in plan_of(sales) and len(sales.collect()) == 3
+    warehouse.drop()

@@ -21,6 +21,7 @@ from tallystar.operators import (
     keep_groups,
     lookup,
     match_groups,
+    rank_all,
     ranked_with_ties,
     roll_up,
     salt_pair,
@@ -186,3 +187,20 @@ def test_exchanges_of_distinct_counts_and_anti_joins(spark):
             assert plan_of(REGISTRY[query](spark, sf_dir)).count("Exchange hashpartitioning") <= most
     finally:
         spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 50])
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_of_every_row(spark, parts, descending):
+    values = [5.0, 5.0, None, 1.0, float("nan"), 5.0, -0.0, 0.0, None, 7.5, *[3.0] * 20]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+    expected = rows.withColumn("rnk", F.rank().over(Window.orderBy(order)).cast("bigint"))
+    found = rank_all(rows, "v", descending, parts=parts)
+    assert rows_of(found.select("i", "rnk")) == rows_of(expected.select("i", "rnk"))
+    assert rank_all(rows.limit(0), "v").count() == 0
+
+
+def test_rank_of_every_row_has_no_window_over_all(spark):
+    plan = rank_all(spark.range(100).withColumn("v", F.col("id") % 10), "v")._jdf.queryExecution().toString()
+    assert "Exchange SinglePartition" not in plan
