@@ -6,7 +6,8 @@ is taken, merged at all its places from left to right, and the place lists of th
 until no rank is active.
 
 Defined results: a null or empty text has no ids and decodes to the empty text. Special strings are one id each.
-Rows are encoded one by one; input columns of the names that are added give way to them.
+Rows are encoded one by one; input columns of the names that are added give way to them. A text of any length is encoded
+whole, in a batch of its own if it is large. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ what the driver collects is bounded whatever the corpus; and if it is not ``MIN_
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is every text when nothing was
 learnt. Ties, and texts without any known trigram, go to the language with the most trigrams learnt, then the smaller
-name. Rows are judged one by one; input columns of the names that are added give way to them.
+name. Rows are judged one by one, whole; input columns of the names that are added give way to them. An empty table gives no
+rows.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ no exchange, no Python. Ratios are compared as products of whole numbers, so no
 
 Words are runs without blank, tab, line feed, vertical tab, form feed and carriage return. Defined results: a null or
 empty text has no words, all its counts are 0 and its base check fails. Repeated rows are judged one by one. Input
-columns of the names that ``judge`` adds give way to them; any other column is kept.
+columns of the names that ``judge`` adds give way to them; any other column is kept. A text of any length is one row, judged
+whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

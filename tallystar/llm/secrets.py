@@ -12,7 +12,8 @@ word of the text as value are added as labelled false positives. Training takes
 ``TRAIN_FINDINGS`` labelled findings, chosen by hash; the counts of step 1 and the scan cover every text.
 
 Defined results: a null or empty text has no findings. If the findings to learn from are all of one kind, no forest is
-trained, and the form alone decides. Rows are scanned one by one; equal rows give equal findings.
+trained, and the form alone decides. Rows are scanned one by one, whole; equal rows give equal findings. An empty table gives
+none. ``redact`` keeps all input columns but one of the name that it adds; ``find`` gives the id and what it found.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ sequence each belongs to. In every round each sequence applies its own lowest-ra
 without a pair that merges leave the array. What is left of a sequence is its count: no token is ever materialised.
 
 Defined results: a null or empty text has 0 tokens. A special string inside a text counts as one token. Rows are
-counted one by one, whatever their ids; input columns of the names that are added give way to them.
+counted one by one, whatever their ids; input columns of the names that are added give way to them. A text of any length is
+counted whole, in a batch of its own if it is large. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ shares a bucket with probability ``RECALL``. A pair is counted in the first tabl
 per pair.
 
 Defined results: a vector that is null, zero or has null or non-finite components, or a null label, links with
-nothing; neither do vectors of different lengths. Every row gives a row; repeated rows link with each other.
+nothing; neither do vectors of different lengths. Every row gives a row; repeated rows link with each other. An empty table
+gives no rows; other input columns are left out, whatever their names.
 """
 
 from __future__ import annotations
