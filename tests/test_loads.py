@@ -207,6 +207,15 @@ def test_replacing_dates_in_a_database(spark):
     assert rows_of(list_tables(spark, database)) == [("GAPS_FACT",)]
 
 
+def test_failed_load_leaves_no_stage(spark):
+    database, df = _database(spark), spark.createDataFrame([(20210102, 1)], "time_id bigint, product_id int")
+    append_table(df, database, "gaps_fact")
+    with pytest.raises(Exception, match="(?i)nowhere"):
+        replace_dates(df, database, "gaps_fact", "nowhere")
+    assert rows_of(list_tables(spark, database)) == [("GAPS_FACT",)]
+    assert rows_of(read_table(spark, database, "gaps_fact")) == [(20210102, 1)]
+
+
 def test_append_new_of_nothing(spark, warehouse):
     warehouse.append_new("out_of_stock_fact", spark.createDataFrame([], "time_id bigint, product_id int"))
     assert warehouse.read("out_of_stock_fact").count() == 0
