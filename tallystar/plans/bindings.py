@@ -499,7 +499,7 @@ def silver_feed_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (plain, rich):
         write_dated(part, root, "json", ["date"])
     return distinct_rows(read_json_merged(spark, root)).select(
-        "event_id", "product_id", "event_type", F.col("value").isNotNull().alias("valued"),
+        "event_id", "product_id", "event_type", F.col("value").isNotNull().cast("int").alias("valued"),
         F.when(F.col("value").startswith("v"), F.col("value")).alias("code"), "date",
     )
 

@@ -302,7 +302,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "silver_feed_merged": """
         SELECT DISTINCT event_id, user_id AS product_id, CASE WHEN odd THEN event_type END AS event_type,
-            odd OR value IS NOT NULL AS valued, CASE WHEN odd THEN 'v' || (user_id % 7) END AS code, date
+            CAST(odd OR value IS NOT NULL AS INT) AS valued, CASE WHEN odd THEN 'v' || (user_id % 7) END AS code, date
         FROM (SELECT *, CAST(ts AS DATE) AS date, day(ts) % 2 = 1 AS odd FROM events) t
     """,
     "silver_evolved": """
