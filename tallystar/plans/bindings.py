@@ -494,7 +494,11 @@ def silver_feed_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.dayofmonth("date") % 2 == 0
     plain = events.where(even).select("event_id", F.col("user_id").alias("product_id"), "value", "date")
     rich = events.where(~even).select(
-        "event_id", F.col("user_id").alias("product_id"), "event_type", F.concat(F.lit("v"), F.col("user_id") % 7).alias("value"), "date"
+        "event_id",
+        F.col("user_id").alias("product_id"),
+        "event_type",
+        F.concat(F.lit("v"), F.col("user_id") % 7).alias("value"),
+        "date",
     )
     for part in (plain, rich):
         write_dated(part, root, "json", ["date"])
@@ -510,7 +514,9 @@ def silver_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{fresh_dir(spark, 'orders')}/parquet"
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     first, second, third = (RUN_DATE + dt.timedelta(days=n) for n in range(3))
-    old = orders.where("o_orderkey % 3 = 0").selectExpr("CAST(o_orderkey AS INT) AS o_orderkey", "o_custkey AS customer", "o_totalprice")
+    old = orders.where("o_orderkey % 3 = 0").selectExpr(
+        "CAST(o_orderkey AS INT) AS o_orderkey", "o_custkey AS customer", "o_totalprice"
+    )
     write_run_date(old, root, first, "parquet")
     write_run_date(orders.where("o_orderkey % 3 = 1").drop("o_orderpriority"), root, second, "parquet")
     write_run_date(orders.where("o_orderkey % 3 = 2").withColumn("note", F.lit("x")), root, third, "parquet")

@@ -174,7 +174,8 @@ def read_json_merged(
     folders = [c for c in lines.columns if c != "value"]
     parsed = F.try_parse_json("value")
     parsed = F.when(F.schema_of_variant(parsed).startswith("OBJECT<"), parsed)
-    rows = stage(lines.select(parsed.alias("_object"), F.when(parsed.isNull(), F.col("value")).alias(CORRUPT), *folders), "json")
+    corrupt = F.when(parsed.isNull(), F.col("value")).alias(CORRUPT)
+    rows = stage(lines.select(parsed.alias("_object"), corrupt, *folders), "json")
     merged = rows.agg(F.schema_of_variant_agg("_object")).first()[0]
     schema = _declared(merged)
     fields = [] if schema is None else [F.try_variant_get("_object", "$", schema).alias("_fields")]
