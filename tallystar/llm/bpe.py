@@ -158,7 +158,8 @@ class Decoder:
         first = out[rows[:-1][np.diff(rows) > 0]]
         whole = out.tobytes()
         if not ((first & 0xC0) == 0x80).any() and _is_utf8(whole):  # no character goes over the end of a row
-            return pa.Array.from_buffers(pa.string(), len(row_ids), [None, pa.py_buffer(rows.astype(np.int32)), pa.py_buffer(whole)])
+            buffers = [None, pa.py_buffer(rows.astype(np.int32)), pa.py_buffer(whole)]
+            return pa.Array.from_buffers(pa.string(), len(row_ids), buffers)
         return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(rows, rows[1:], strict=False)], pa.string())
 
 

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import alignment, bpe, decontaminate, jaccard, language, packing, quality, resample, secrets, token_counts, url_rules, vectors, warc
+from tallystar.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    jaccard,
+    language,
+    packing,
+    quality,
+    resample,
+    secrets,
+    token_counts,
+    url_rules,
+    vectors,
+    warc,
+)
 from tallystar.llm.common import prepare, table
 from tallystar.scratch import stage
 

@@ -100,7 +100,8 @@ def bucket_gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Thousandths of the logarithm of how much more frequent each bucket is in the target, smoothed by one."""
     size = len(source)
     all_source, all_target = float(source.sum() + size), float(target.sum() + size)
-    ratios = ((t + 1.0) * all_source / ((s + 1.0) * all_target) for s, t in zip(source.tolist(), target.tolist(), strict=True))
+    counts = zip(source.tolist(), target.tolist(), strict=True)
+    ratios = ((t + 1.0) * all_source / ((s + 1.0) * all_target) for s, t in counts)
     return np.array([math.floor(1000 * math.log(r)) for r in ratios], dtype=np.int64)
 
 
