@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
+from tokenizers import Tokenizer
+
 import corpus_pipeline
+from tallystar.llm.queries import tokenizer_path
 
 WORDS = "the and that was with from have this house river meadow forest stone old near of in to a is".split()
 
@@ -35,7 +38,9 @@ def test_stages_keep_what_they_should(spark, tmp_path):
     assert seen["secrets"] == seen["near copies"]
     last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert sorted({r["doc_id"] for r in last}) == seen["secrets"]
-    assert sum(r["length"] for r in last) == sum(len(r["text"].split()) for r in docs.collect())
+    library = Tokenizer.from_file(tokenizer_path())
+    tokens = {r["doc_id"]: len(library.encode(r["text"], add_special_tokens=False).ids) for r in docs.collect()}
+    assert {r["doc_id"]: r["length"] for r in last} == tokens
 
 
 def test_empty_documents(spark, tmp_path):
