@@ -16,7 +16,9 @@
    meet two at a time in a cell of their own. The result needs no more than this: no pair of different components is left unchecked.
 
 Shingles are compared by 64-bit hashes. Defined results: a null or empty text, or one without words, has 0 shingles and
-is linked with nothing. A null id has a null component. Repeated rows have equal sets and share a component.
+is linked with nothing. Rows that share an id, or have none, are told apart by their numbers: each has the class of its own
+text. The component is the smallest id in the class, null if no row of it has one. Repeated rows share a component. A text
+of any length is one set. An empty table gives no rows; other input columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -520,10 +522,31 @@ def _open(pairs: DataFrame, named: DataFrame) -> DataFrame:
     return out.where(differ).select(*pairs.columns)
 
 
+def with_keys(df: DataFrame, doc_id: str) -> tuple[DataFrame, bool]:
+    """``df`` with a column ``__key`` that tells its rows apart: the id where every row has one of its own (then the second
+    value is true), else the number of the stored row."""
+    rows, ids, different = df.agg(F.count("*"), F.count(doc_id), F.count_distinct(doc_id)).first()
+    if rows == ids == different:
+        return df.withColumn("__key", F.col(doc_id).cast("long")), True
+    return stage(df.withColumn("__key", F.monotonically_increasing_id()), "rows"), False
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``df``: ``doc_id``, ``n_shingles``, ``component_id``."""
-    spark = df.sparkSession
+    """One row per row of ``df``: ``doc_id``, ``n_shingles``, ``component_id``, the smallest id of the row's class."""
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows, by_id = with_keys(docs, "doc_id")
+    found = classes(rows, "__key", "text")
+    if by_id:
+        return found.withColumnsRenamed({"key": "doc_id", "component": "component_id"})
+    found = stage(found.join(rows.select("__key", "doc_id"), F.col("key") == F.col("__key")), "classes")
+    least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return found.join(least, "component").select("doc_id", "n_shingles", "component_id")
+
+
+def classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key`` (unique, long), ``n_shingles`` and ``component``, the smallest key of the class, for each row of ``df``."""
+    spark = df.sparkSession
+    docs = df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     lists = max(1, -(-size * (100 - PERCENT) // 100 // BYTES_PER_WORD // LIST_ENTRIES))
     survey = docs.mapInArrow(_survey(lists), "row long, n long, digest long, list long, tokens binary")
@@ -579,10 +602,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             break
         checked = checked.union(new)
 
-    classes = firsts.join(named.toDF("first", "component"), "first", "left")
-    classes = classes.select("n", "digest", F.coalesce("component", "first").alias("component_id"))
-    linked = sizes.where("n > 0").join(classes, ["n", "digest"])
-    alone = sizes.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    out = linked.select("doc_id", "n", "component_id").union(alone.select("doc_id", "n", "component_id"))
-    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    answers = firsts.join(named.toDF("first", "component"), "first", "left")
+    answers = answers.select("n", "digest", F.coalesce("component", "first").alias("component"))
+    linked = sizes.where("n > 0").join(answers, ["n", "digest"])
+    alone = sizes.where("n = 0").withColumn("component", F.col("doc_id"))
+    out = linked.select("doc_id", "n", "component").union(alone.select("doc_id", "n", "component"))
+    return out.select(F.col("doc_id").alias("key"), F.col("n").alias("n_shingles"), "component")
