@@ -16,7 +16,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is in a language that was learnt; null texts and texts without a letter go."""
+    """Documents to whose text a language can be given; null texts, texts without a letter and, where nothing could be
+    learnt, all others go."""
     prepare(spark)
     filters = language.learn(docs.where(language.learnable(F.col("doc_id"))))
     found = language.identify(docs, filters)
@@ -30,21 +31,23 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; a null id stays.
+    """One document of each group of near copies: the one with the smallest id, and of those that share it any one.
 
-    Rows that share an id share their fate; of those that share id and text, one stays.
+    Decided row by row, so rows that share an id stay or go by their own texts. A document without an id stays only if
+    its group has none with one.
     """
     prepare(spark)
-    classes = stage(jaccard.near_duplicates(docs), "classes")
-    rows = classes.where("doc_id is not null").groupBy("doc_id")
-    found = rows.agg(F.count("*").alias("n"), F.bool_or(F.expr("component_id <> doc_id")).alias("copy"))
-    found = stage(found.where("n > 1 or copy").select("doc_id", "copy"), "copies")
-    left = docs.join(found.where("copy"), "doc_id", "left_anti").select(docs.columns)
-    again = found.where("not copy").select("doc_id")
-    if again.isEmpty():
-        return left
-    once = left.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
-    return left.join(again, "doc_id", "left_anti").select(docs.columns).union(once)
+    rows, by_id = jaccard.with_keys(docs, "doc_id")
+    found = stage(jaccard.classes(rows, "__key", "text"), "classes")
+    if by_id:
+        copies = found.where("key <> component").select("key")
+    else:
+        ids = rows.select("__key", F.col("doc_id").cast("long").alias("id"))
+        members = found.join(ids, F.col("key") == F.col("__key")).select("key", "component", "id")
+        first = F.min(F.struct(F.col("id").isNull(), "id", "key"))["key"].alias("stays")
+        stays = members.groupBy("component").agg(first)
+        copies = stage(members.join(stays, "component").where("key <> stays").select("key"), "copies")
+    return rows.join(copies, F.col("__key") == F.col("key"), "left_anti").select(docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
