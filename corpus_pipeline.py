@@ -12,6 +12,8 @@ from tallystar.llm.common import prepare, table
 from tallystar.llm.queries import tokenizer_path
 from tallystar.scratch import stage
 
+BROADCAST_KEYS = 1 << 21  # keys of copies that go to all tasks, 16 MB
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -40,13 +42,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, by_id = jaccard.with_keys(docs, "doc_id")
     found = stage(jaccard.classes(rows, "__key", "text"), "classes")
     if by_id:
-        copies = found.where("key <> component").select("key")
+        copies = stage(found.where("key <> component").select("key"), "copies")
     else:
         ids = rows.select("__key", F.col("doc_id").cast("long").alias("id"))
         members = found.join(ids, F.col("key") == F.col("__key")).select("key", "component", "id")
         first = F.min(F.struct(F.col("id").isNull(), "id", "key"))["key"].alias("stays")
         stays = members.groupBy("component").agg(first)
         copies = stage(members.join(stays, "component").where("key <> stays").select("key"), "copies")
+    if copies.count() <= BROADCAST_KEYS:  # counted in file footers; else the texts are shuffled
+        copies = F.broadcast(copies)
     return rows.join(copies, F.col("__key") == F.col("key"), "left_anti").select(docs.columns)
 
 
