@@ -2,7 +2,8 @@
 
 Writing: each page becomes one gzip member, so any record can be read by its byte range. Spark's text writer puts the
 members into files of the shared folder; the separator it writes after each row is an empty gzip member, so the files
-are valid multi-member archives. A payload of at least ``MIN_REVISIT`` bytes that occurs again is stored once, by the
+are valid multi-member archives. Each task adds up the bytes it writes and begins a new file before one outgrows
+``FILE_BYTES``, so that a file fits a task that reads it. A payload of at least ``MIN_REVISIT`` bytes that occurs again is stored once, by the
 smallest page id; the others become revisit records that name it and repeat its digest and length in their headers.
 
 Index: captures are sorted by reversed-host URL key into blocks of compressed lines; a directory holds the first and
@@ -30,7 +31,7 @@ from tallystar.llm.common import texts
 from tallystar.scratch import fresh_dir, stage
 
 MIN_REVISIT = 100
-FILE_BYTES = 8 << 20  # of payload per archive file, on average
+FILE_BYTES = 8 << 20  # of an archive file; a larger record has a file to itself
 BLOCK_LINES = 512
 BROADCAST_BYTES = 32 << 20  # a larger block directory is joined instead of sent to every task
 GZIP = 31
@@ -89,11 +90,9 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     rows = pages.select(
         F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), payload.alias("payload")
     ).withColumn("digest", F.sha2("payload", 256))
-    sized = stage(rows.select("page_id", "digest", F.octet_length("payload").alias("bytes")), "digests")
-    repeated = sized.where(f"bytes >= {MIN_REVISIT}").groupBy("digest")
-    repeated = stage(
-        repeated.agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "repeated"
-    )
+    sized = rows.select("page_id", "digest").where(F.octet_length("payload") >= MIN_REVISIT)
+    repeated = sized.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    repeated = stage(repeated.where("n > 1").drop("n"), "repeated")
     # Spark broadcasts the stored repeats if they are small; else AQE splits the pages of a digest that is frequent.
     marked = rows.join(repeated, "digest", "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
@@ -102,18 +101,24 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share = filled = 0
         for batch in batches:
-            members = []
+            members, shares = [], []
             for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 packer = zlib.compressobj(level=4, wbits=GZIP)
                 members.append(packer.compress(_record(*row)) + packer.flush())
-            yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], ["member"])
+                size = len(members[-1]) + len(EMPTY_MEMBER)
+                if filled and filled + size > FILE_BYTES:
+                    share, filled = share + 1, 0
+                filled += size
+                shares.append(share)
+            arrays = [pa.array(members, pa.binary()), pa.array(shares, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, ["member", "share"])
 
     files = f"{fresh_dir(spark, 'warc')}/files"
-    mean = sized.agg(F.avg("bytes")).first()[0] or 1
-    writer = marked.mapInArrow(work, "member binary").select(F.col("member").cast("string")).write
+    writer = marked.mapInArrow(work, "member binary, share int").select(F.col("member").cast("string"), "share").write
     writer = writer.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
-    writer.option("maxRecordsPerFile", max(1, int(FILE_BYTES / max(mean, 1)))).text(files)
+    writer.partitionBy("share").text(files)
     return Archive(spark, files)
 
 
