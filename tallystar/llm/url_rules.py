@@ -3,7 +3,9 @@
 A URL's tokens are the labels and the two-label domain of its host, its path segments (numbers alike), its file
 extension and its query keys. Spark's FP-growth mines the token combinations of all URLs together with the labels of
 those that have one; a combination becomes a rule if it is frequent enough and if at least ``MIN_CONFIDENCE`` of the
-URLs that have it carry the label. URLs without a label count against it. Rules match by an inverted index: each is
+URLs that have it carry the label. URLs without a label count against it. Tokens that occur in exactly the same URLs, such
+as the query keys of a template, are one item: every set of them says the same, and mined one by one they would give a
+number of item sets that doubles with each. Rules match by an inverted index: each is
 filed under its rarest token, and a URL is only held against the rules filed under its tokens.
 
 The URLs are reduced to their distinct token sets before they are matched, so a host with a third of all pages is a
@@ -11,7 +13,8 @@ few rows. Among rules that match, the most confident decides, then the one with
 allow, then the antecedent. A URL that no rule matches is allowed.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no tokens, and is allowed. Repeated rows
-are judged alike. Without labelled URLs nothing is mined. Input columns of the names that are added give way.
+are judged alike. Without labelled URLs nothing is mined. Input columns of the names that are added give way. A URL of any
+length is judged whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -98,6 +101,20 @@ def listed(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Colum
     )
 
 
+def _representatives(urls: DataFrame, min_support: float) -> list[str]:
+    """The tokens that rules are mined from: of the frequent ones that occur in exactly the same URLs, the last by name.
+
+    There are no more than the tokens of a URL on average, divided by the support. Which URLs a token occurs in is
+    compared by two sums over the hashes of their token sets.
+    """
+    least = F.ceil(F.lit(min_support) * urls.count()).cast("long")
+    of_set = [F.xxhash64(F.lit(k), "tokens").cast("decimal(38,0)").alias(f"h{k}") for k in (0, 1)]
+    rows = urls.select(F.explode("tokens").alias("token"), *of_set)
+    places = rows.groupBy("token").agg(F.count("*").alias("n"), F.sum("h0").alias("h0"), F.sum("h1").alias("h1"))
+    same = places.where(F.col("n") >= least).groupBy("n", "h0", "h1").agg(F.max("token").alias("token"))
+    return [r["token"] for r in same.select("token").collect()]
+
+
 def mine(urls: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules from ``urls`` with the columns ``tokens`` and ``label`` (null where unlabelled).
 
@@ -107,8 +124,9 @@ def mine(urls: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: floa
     schema = "antecedent array<string>, label string, confidence double, support double, filed string"
     if urls.where("label is not null").isEmpty():
         return spark.createDataFrame([], schema)
+    chosen = F.lit(_representatives(urls, min_support)).cast("array<string>")
     label = F.when(F.col("label").isNotNull(), F.array(F.concat(F.lit(LABEL), F.col("label"))))
-    items = urls.select(F.concat("tokens", F.coalesce(label, F.array().cast("array<string>"))).alias("items"))
+    items = urls.select(F.concat(F.array_intersect("tokens", chosen), F.coalesce(label, F.array().cast("array<string>"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     # Association rules of Spark have one consequent; the antecedents that hold labels are not of use.
     rules = model.associationRules.where(F.col("consequent")[0].startswith(LABEL))
