@@ -103,6 +103,27 @@ def test_late_rows_leave_the_others_of_their_dates(spark, warehouse, unit):
     assert set(after) == set(february)  # a period that no late row is in keeps its files
 
 
+def _months(spark, **buckets):
+    """A warehouse of months, with tables in buckets."""
+    created = Warehouse(spark, f"dwh_{uuid.uuid4().hex}", fresh_dir(spark, "w"), buckets=buckets, date_unit=100)
+    created.create()
+    return created
+
+
+def test_facts_in_one_bucket_are_read_by_several_tasks(spark):
+    warehouse = _months(spark, orders_fact=1)
+    rows = [(1, 1, 1, 1, 5, 20210102), (2, 1, 1, 1, 5, 20210203), (3, 1, 1, 1, 5, 20210203), (4, 1, 1, 1, 5, None)]
+    warehouse.append("orders_fact", spark.createDataFrame(rows, ORDERS))
+    warehouse.append("dates_dim", date_dimension(spark.sql("SELECT DATE '2021-02-03' AS d")))
+    star = warehouse.read_star("orders_fact", warehouse.read("dates_dim"))
+    reads = {4: warehouse.read("orders_fact"), 2: warehouse.read_dates("orders_fact", 20210201, 20210228)}
+    for n, read in {**reads, 2.0: star, 0: warehouse.read_dates("orders_fact", 20200101, 20200102)}.items():
+        counted = read.selectExpr("count(*) AS n", "sum(quantity)")
+        assert counted.first()["n"] == n
+        assert not n or "Exchange SinglePartition" in plan_of(counted)
+        assert "Bucketed: true" not in plan_of(read.groupBy("order_id").count())
+
+
 def test_versions_of_a_dimension(spark, warehouse):
     def load(day, *rows):
         for _ in range(2):
