@@ -15,6 +15,7 @@ from tallystar.schemas import LOAD_ORDER, bronze_schema, warehouse_tables
 from tallystar.plans.star import date_dimension
 from tallystar.plans.steps import Step, run_steps
 from tallystar.scratch import fresh_dir, stage
+from tallystar.sinks import warehouse as warehouse_module
 from tallystar.sinks import Warehouse, append_new_rows, append_table, bucket_count, replace_dates, store_bucketed
 from tallystar.sources import Ranges, list_tables, read_table, read_tables
 from tests.test_operators import plan_of, rows_of
@@ -124,6 +125,25 @@ def test_facts_in_one_bucket_are_read_by_several_tasks(spark):
         assert "Bucketed: true" not in plan_of(read.groupBy("order_id").count())
 
 
+def test_late_rows_are_compared_where_their_file_is_written(spark, monkeypatch):
+    staged, copies = [], warehouse_module.stage
+    monkeypatch.setattr(warehouse_module, "stage", lambda df, name: staged.append(name) or copies(df, name))
+    warehouse = _months(spark, orders_fact=2)
+    first = [(1, 1, 1, 1, 5, 20210102), (1, 1, 1, 1, 6, 20210102), (2, 1, 1, 1, 5, 20210102), (2, 1, 1, 1, 6, 20210102)]
+    first += [(3, 1, None, 1, 5, None), (4, 1, None, 1, 5, None)]
+    warehouse.append("orders_fact", spark.createDataFrame(first, ORDERS))
+    late = [(1, 1, 1, 1, 7, 20210102), (1, 1, 1, 1, None, 20210102), (3, 1, None, 1, None, None), (9, 1, 1, 1, 1, 20210130)]
+    for _ in range(2):
+        warehouse.merge_rows("orders_fact", spark.createDataFrame(late, ORDERS))
+    expected = [late[0], first[2], first[3], late[2], first[5], late[3]]
+    assert rows_of(warehouse.read("orders_fact")) == sorted(expected, key=repr)
+    files = spark.table(warehouse.name_of("orders_fact")).inputFiles()
+    assert len(files) <= 4  # one for each period and bucket
+    warehouse.replace_dates("orders_fact", spark.createDataFrame([(5, 1, 1, 1, 5, 20210130)], ORDERS))
+    assert rows_of(warehouse.read("orders_fact")) == sorted([*expected[:5], (5, 1, 1, 1, 5, 20210130)], key=repr)
+    assert staged == ["late-rows", "late-rows", "dates"]  # the stored rows go straight into the files that replace theirs
+
+
 def test_versions_of_a_dimension(spark, warehouse):
     def load(day, *rows):
         for _ in range(2):
