@@ -7,6 +7,7 @@ import uuid
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallystar.operators import join_as_of, missing_members
 from tallystar.plans.bindings import _database, _sales, sunday_sales
@@ -128,6 +129,33 @@ def test_facts_in_one_bucket_are_read_by_several_tasks(spark):
         assert not n or "Exchange SinglePartition" in plan_of(counted)
 
 
+def test_more_rows_of_a_bucket_than_a_task_should_read_are_written_by_several(spark):
+    warehouse = _months(spark, orders_fact=1)
+    lines = spark.range(0, 40_000, 1, 8).selectExpr(
+        "CAST(id AS INT) AS order_id", "CAST(hash(id) % 1000 AS INT) AS product_id", "CAST(hash(id, 1) AS INT) AS client_id",
+        "1 AS store_id", "CAST(hash(id, 2) AS INT) AS quantity", "CAST(if(id % 10 = 0, NULL, 20210101 + id % 28) AS BIGINT) AS time_id",
+    )
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        for _ in range(2):
+            warehouse.replace_dates("orders_fact", lines)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    written = warehouse.read("orders_fact")
+    january = spark.table(warehouse.name_of("orders_fact")).where("date_period = 202101").inputFiles()
+    assert len(january) > 1
+    assert written.count() == 40_000 and written.exceptAll(lines).isEmpty()
+    by_bucket = spark.table(warehouse.name_of("orders_fact")).groupBy("order_id", "product_id", "client_id", "store_id").count()
+    assert by_bucket.where("count > 1").isEmpty()
+    late = lines.where("order_id < 20").withColumn("quantity", F.lit(0))
+    warehouse.merge_rows("orders_fact", late)
+    merged = warehouse.read("orders_fact")
+    assert merged.exceptAll(late.union(lines.where("order_id >= 20"))).isEmpty() and merged.count() == 40_000
+
+
 def test_late_rows_are_compared_where_their_file_is_written(spark, monkeypatch):
     staged, copies = [], warehouse_module.stage
     monkeypatch.setattr(warehouse_module, "stage", lambda df, name: staged.append(name) or copies(df, name))
